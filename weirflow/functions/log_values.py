@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from . import convert, literals, temporal, types
 
-_STRING = F.lit("$")
 
 
 def text_of(value: Column) -> Column:

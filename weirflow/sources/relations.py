@@ -65,7 +65,7 @@ class SessionSource:
     facts: Mapping[str, Fact] = field(default_factory=dict)
 
     def rows(self, schema: str, table: str) -> DataFrame:
-        return self.spark.table(f"`{schema}`.`{table}`" if self.spark.catalog.tableExists(table, schema) else f"`{table}`")
+        return self.spark.table(f"`{schema}`.`{table}`" if self.spark.catalog.tableExists(f"`{schema}`.`{table}`") else f"`{table}`")
 
     def relations(self) -> list[Relation]:
         out = []
