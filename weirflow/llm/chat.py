@@ -19,12 +19,12 @@ from pyspark.sql.window import Window
 from . import common
 
 #: Stands for a null conversation id while rows are grouped.
-NONE = F.lit(-(2**63))
+NONE = -(2**63)
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """conv_id, place (from 1), n_turns and the hash of each prefix as ``h1``, ``h2``."""
-    kept = turns.select(F.coalesce(F.col("conv_id").cast("long"), NONE).alias("conv_id"), "turn", "role", "text")
+    kept = turns.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(NONE)).alias("conv_id"), "turn", "role", "text")
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = kept.withColumn("place", F.row_number().over(order))
     state = [F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
@@ -53,7 +53,7 @@ def rendered_turn() -> Column:
 
 def render(turns: DataFrame, keep: DataFrame) -> DataFrame:
     """conv_id, n_turns and chat of the conversations in ``keep``."""
-    kept = turns.select(F.coalesce(F.col("conv_id").cast("long"), NONE).alias("conv_id"), "turn", "role", "text").join(keep, "conv_id", "left_semi")
+    kept = turns.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(NONE)).alias("conv_id"), "turn", "role", "text").join(keep, "conv_id", "left_semi")
     # Sorted by what the hash is sorted by; nulls first, as there.
     line = F.struct("turn", "role", "text", rendered_turn().alias("line"))
     grouped = kept.groupBy("conv_id").agg(F.sort_array(F.collect_list(line)).alias("lines"))
