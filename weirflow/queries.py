@@ -65,14 +65,14 @@ def xmin_text_order(spark, sf_dir):
     return snapshot.numbered(rows, [text], F.substring(text, 1, 3)).select("o_orderkey", "seq")
 
 
-_XID = "(o_orderkey + 4294960000) % 4294967296"
-_AGE = "((((5000 - {}) % 4294967296) + 4294967296) % 4294967296)"
+_XID = "(o_orderkey + 4294967000) % 4294967296"
+_AGE = "((((1000 - {}) % 4294967296) + 4294967296) % 4294967296)"
 
 
-@query(f"select o_orderkey, {_XID} xid from orders where {_AGE.format(_XID)} <= {_AGE.format('4294967000')}")
+@query(f"select o_orderkey, {_XID} xid from orders where {_AGE.format(_XID)} <= {_AGE.format("4294967100")}")
 def xmin_resume_age(spark, sf_dir):
-    rows = _table(spark, sf_dir, "orders").withColumn("xid", F.pmod(F.col("o_orderkey") + 4294960000, F.lit(2**32)))
-    out = snapshot.full_table(rows, {"o_orderkey": "bigint", "xid": "bigint"}, "xid", 4294967000, 5000)
+    rows = _table(spark, sf_dir, "orders").withColumn("xid", F.pmod(F.col("o_orderkey") + 4294967000, F.lit(2**32)))
+    out = snapshot.full_table(rows, {"o_orderkey": "bigint", "xid": "bigint"}, "xid", 4294967100, 1000)
     return out.drop(snapshot.WATERMARK)
 
 
