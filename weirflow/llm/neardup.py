@@ -9,9 +9,10 @@ such short registers, rules out those that are far from the threshold; the rest
 shingle sets.
 
 Texts with one shingle set are one node.  In a bucket of a band, nodes are first compared with one
-pivot, and those that stay apart with other pivots; only nodes that are then still in different components
-are compared with each other.  No link that a band offers between two components is left untested, and the
-members of a large group are not paired with each other.
+pivot, and those that stay apart with other pivots.  Nodes of a bucket that are then still in different
+components may yet be linked: their candidates come from a prefix filter, which misses no pair that reaches
+the threshold and offers few others, as it goes by their rarest shingles.  So no link that a band offers between
+two components is lost, and the members of a large group are not paired with each other.
 
 Cases: null, empty and blank texts have no shingle and link with nothing; a text of fewer words than a
 shingle is one shingle; equal rows give equal rows; a null doc_id takes part in links, is never a
@@ -35,6 +36,8 @@ MANTISSA = 10
 MISS = 1e-6
 #: Registers that are stored for the estimate.
 ESTIMATE = 128
+#: Counts in the table that orders shingles by rarity.
+SLOTS = 1 << 19
 #: The estimate rules out pairs this many standard deviations below the threshold.
 SIGMAS = 6.0
 
@@ -186,6 +189,65 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, size: int, threshold: Fraction
     return both.select("a", "b", "text_x", "text_y", "reg_x", "reg_y", "n_x", "n_y").mapInArrow(run, "a long, b long")
 
 
+def rare_prefixes(nodes: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """(token, node, component, outside, n, place) of each node's rarest shingles.
+
+    Two sets that reach the threshold share one of their ``n - ceil(t n) + 1`` first shingles in any common
+    order.  The order is by how often a shingle's slot of a fixed table is met among these nodes, so that what
+    a group of copies has in common comes last.  The table has SLOTS counts, however many nodes there are.
+    """
+    spark = nodes.sparkSession
+
+    def count(batches):
+        import pyarrow as pa
+
+        hashed, total = _hasher(size), np.zeros(SLOTS, np.int64)
+        with np.errstate(over="ignore"):
+            for b in batches:
+                for text in b.column(0).to_pylist():
+                    np.add.at(total, (hashed(text) % np.uint64(SLOTS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+    counted = nodes.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(SLOTS, np.int64)
+    table[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    held = spark.sparkContext.broadcast(table.clip(max=2**31 - 1).astype(np.int32))
+
+    def prefix(batches):
+        import pyarrow as pa
+
+        hashed, common_ = _hasher(size), held.value
+        with np.errstate(over="ignore"):
+            for b in batches:
+                tokens, node, at = [], [], []
+                for k, text in enumerate(b.column(0).to_pylist()):
+                    s = hashed(text)
+                    most = len(s) - -(-len(s) * threshold.numerator // threshold.denominator) + 1
+                    first = s[np.lexsort((s, common_[(s % np.uint64(SLOTS)).astype(np.int64)]))[:most]]
+                    tokens.append(first.view(np.int64))
+                    node.append(np.full(len(first), k))
+                    at.append(np.arange(1, len(first) + 1))
+                owner = pa.array(np.concatenate(node))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *[b.column(c).take(owner) for c in (1, 2, 3, 4)], pa.array(np.concatenate(at))], ["token", "node", "component", "outside", "n", "place"])
+
+    return nodes.select("text", "node", "component", "outside", "n_shingles").mapInArrow(prefix, "token long, node long, component long, outside boolean, n long, place long")
+
+
+def prefix_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may reach the threshold.
+
+    They share a token at places from which enough shingles follow in both for the overlap that is needed.
+    """
+    over, under = threshold.numerator, threshold.denominator
+    a = prefixes.where("outside").select("token", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    b = prefixes.select("token", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("place").alias("pb"), "outside")
+    near = (F.col("na") * under >= F.col("nb") * over) & (F.col("nb") * under >= F.col("na") * over)
+    enough = (1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))) * (over + under) >= (F.col("na") + F.col("nb")) * over
+    once = ~F.col("outside") | (F.col("a") < F.col("b"))
+    return a.join(b, "token").where((F.col("ca") != F.col("cb")) & near & enough & once).select("a", "b")
+
+
 def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(node, component) of the nodes that have edges (a, b); the component is its smallest node."""
     both = scratch.keep(edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")), "edges")
@@ -264,13 +326,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     links = scratch.keep(links.union(more), "links")
     labels = components(links, scratch)
     mixed, top = apart(labels)
-    # What is still apart: every member outside a bucket's largest component, with those of other components.
-    outside = mixed.where("component <> top").select("key", F.col("node").alias("a"), F.col("component").alias("c"))
-    rest = outside.join(mixed, "key").where("component <> c and (component = top or a < node)").select("a", F.col("node").alias("b"))
+    # What is still apart: exact candidates between the components, by the rarest shingles of each.
+    loose = mixed.select("node", "component", (F.col("component") != F.col("top")).alias("outside"))
+    loose = scratch.keep(loose.groupBy("node", "component").agg(F.max("outside").alias("outside")), "loose")
+    prefixes = scratch.keep(rare_prefixes(held.join(loose, "node"), size, threshold), "prefixes")
+    rest = prefix_pairs(prefixes, threshold)
     more = link(rest, "rest")
     if more.limit(1).count():
         labels = components(scratch.keep(links.union(more), "links"), scratch)
-    scratch.drop(mixed, top, members, held, links, more)
+    scratch.drop(mixed, top, members, held, links, more, loose, prefixes)
 
     # The smallest doc_id of every component, given to its nodes and to their rows.
     firsts = nodes.select("node", "first_id").join(labels, "node")
