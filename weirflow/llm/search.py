@@ -12,7 +12,7 @@ Queries go to the executors in blocks of bounded size, and each block meets all
 Cases: vectors that are null or hold a null or non-finite component take no part, nor do rows with a null
 vec_id; shorter vectors count as filled up with zeros; an empty vector scores 0; rows that have the query's
 vec_id are its own and no candidates of it; repeated query rows are each answered; ties go to the smaller
-vec_id; other columns are ignored.
+vec_id; products are exact integers, and a score beyond 64 bits is an error; other columns are ignored.
 """
 
 from __future__ import annotations
