@@ -29,9 +29,15 @@ CLOSES_P = frozenset("address article aside blockquote details dialog div dl fie
 CLOSED_BY = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 CLOSED_BY = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSED_BY.items()}
 
-_cut_words = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|nav|navbar|navigation|menus?|sidebars?|side-?bar|footer|foot|masthead|topbar|header|site-?header|page-?header|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|newsletter|subscribe|signup|login|comments?|comment-?list|disqus|replies|respond|share|sharing|social|related|recommended|breadcrumbs?|pagination|pager|widget|toolbar|skip-?link|copyright|legal|disclaimer)(?:$|[\s_-])"
-)
+_words = "ads? adverts? advertisement advertising adsense sponsor(?:ed)? promo(?:tion)?s? banners? nav navbar navigation menus? sidebars? side-?bar footer foot cookies? consent gdpr notices? alerts? popups? modals? overlay newsletter subscribe signup login comments? comment-?list disqus replies respond share sharing social related recommended breadcrumbs? pagination pager widget toolbar skip-?link copyright legal disclaimer".split()
+_head_words = "masthead topbar header site-?header page-?header".split()  # an article's own header holds its title
+
+
+def _any(words: list[str]) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{'|'.join(words)})(?:$|[\s_-])")
+
+
+_cut_words, _cut_in_article = _any(_words + _head_words), _any(_words)
 _cut_roles = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _token = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
 _attr = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
@@ -54,7 +60,8 @@ def _is_cut(name: str, attrs: dict[str, str], in_article: bool) -> bool:
         return True
     if name in ("body", "html", "article", "main"):
         return False
-    return any(k in attrs and _cut_words.search(attrs[k].lower()) for k in ("class", "id"))
+    words = _cut_words if not in_article else _cut_in_article
+    return any(k in attrs and words.search(attrs[k].lower()) for k in ("class", "id"))
 
 
 def parse(page: str) -> Node:
@@ -168,14 +175,6 @@ def blocks(root: Node) -> list[Block]:
     return [b for b in out if b.text()]
 
 
-def _within(node: Node, top: Node) -> bool:
-    while node is not None:
-        if node is top:
-            return True
-        node = node.parent
-    return False
-
-
 def extract(page: str | None) -> str:
     """The main text of a page: its blocks parted by an empty line."""
     if not page:
@@ -184,10 +183,12 @@ def extract(page: str | None) -> str:
     found = blocks(root)
     if not found:
         return ""
-    lengths: dict[int, list[int]] = {}  # by container: characters, and those in links
+    lengths: dict[int, list[int]] = {}  # by container: characters, those in links, blocks
     nodes: dict[int, Node] = {}
     texts = [b.text() for b in found]
-    for b, text in zip(found, texts):
+    held: dict[int, list[int]] = {}  # by element: the places of its own blocks
+    for k, (b, text) in enumerate(zip(found, texts)):
+        held.setdefault(id(b.node), []).append(k)
         size = len(text)
         points = 1 + text.count(",") + text.count("،") + text.count("、") + min(size / 100, 3)
         points *= 1 - min(1, b.linked / max(size, 1))
@@ -196,14 +197,15 @@ def extract(page: str | None) -> str:
             node = node.parent  # the paragraph's points go to what holds it
         while node is not None:
             node.score += points / (1, 2, *(3 * k for k in range(2, 40)))[min(level, 39)]
-            got = lengths.setdefault(id(node), [0, 0])
+            got = lengths.setdefault(id(node), [0, 0, 0])
             got[0] += size
             got[1] += min(b.linked, size)
+            got[2] += 1
             nodes[id(node)] = node
             node, level = node.parent, level + 1
 
     def worth(node: Node) -> float:
-        size, linked = lengths.get(id(node), (0, 0))
+        size, linked, _ = lengths.get(id(node), (0, 0, 0))
         return node.score * (1 - linked / size) if size else 0.0
 
     best = max(nodes.values(), key=worth)  # the first of equals, which is the innermost
@@ -218,11 +220,11 @@ def extract(page: str | None) -> str:
     for sibling in top.parent.children if top.parent else ():
         if isinstance(sibling, str) or sibling is top or sibling.cut:
             continue
-        size, linked = lengths.get(id(sibling), (0, 0))
-        own = [t for b, t in zip(found, texts) if b.node is sibling] if sibling.name == "p" else []
+        size, linked, _ = lengths.get(id(sibling), (0, 0, 0))
+        own = held.get(id(sibling), []) if sibling.name == "p" else []
         if size and worth(sibling) >= least and linked / size < 0.3:
             kept.add(id(sibling))
-        elif own and (len(own[0]) > 80 or own[0][-1] in ".!?") and sum(b.linked for b in found if b.node is sibling) < 0.25 * len(own[0]):
+        elif own and (len(texts[own[0]]) > 80 or texts[own[0]][-1] in ".!?") and sum(found[k].linked for k in own) < 0.25 * len(texts[own[0]]):
             kept.add(id(sibling))
     out = []
     for b, text in zip(found, texts):
@@ -234,20 +236,15 @@ def extract(page: str | None) -> str:
                 inside = True
                 break
             node = node.parent
-        if inside and links is not None and _menu(links, found, texts):
-            continue
+        if inside and links is not None:
+            size, linked, n = lengths.get(id(links), (0, 0, 0))
+            if n > 2 and linked > 0.9 * size:
+                continue  # a list of links only is a menu
         if inside:
             out.append(text)
     return "\n\n".join(out)
 
 
-def _menu(node: Node, found: list[Block], texts: list[str]) -> bool:
-    """Whether a list is made of links only."""
-    own = [(b, t) for b, t in zip(found, texts) if _within(b.node, node)]
-    size = sum(len(t) for _, t in own)
-    return len(own) > 2 and sum(min(b.linked, len(t)) for b, t in own) > 0.9 * size
-
-
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
 
