@@ -15,6 +15,7 @@ from weirflow.plans.state import State, StateError
 from weirflow.sources import change_log
 from weirflow.sources.relations import Fact, ParquetSource, SessionSource
 from weirflow.streaming import session as sessions
+from weirflow.streaming.runner import LogRunner
 
 CONFIG = {"host": "h", "port": 1, "user": "u", "password": "p", "dbname": "d"}
 
@@ -223,6 +224,33 @@ def test_drift_stops_or_refreshes(spark):
     assert lines == [{"_sdc_deleted_at": None, "extra": 2, "id": 1}]
 
 
+def test_copy_then_log_then_drift(spark, source, tmp_path):
+    """A stream's life: copied at first, then from the log, and a column that comes while it is read."""
+    log, lines = tmp_path / "log", []
+    write_log(log, event(50, table="people", id=1, name="a"))
+    settings = Settings.of(CONFIG | {"default_replication_method": "LOG_BASED"})
+    reader = LogRunner(spark, settings, str(log), str(tmp_path / "checkpoints"), str(tmp_path / "confirmed"), str(tmp_path / "state.json"))
+    job = Run(spark, source, settings, lambda x: lines.append(json.loads(x)), reader, reader.current_lsn)
+    catalog = {"streams": job.discovered()}
+    catalog["streams"][0]["metadata"][0]["metadata"]["selected"] = True
+    state = job.sync(catalog, State())
+    assert state.get("public-people", "lsn") == 50 and kinds(lines).count("RECORD") == 3
+    (tmp_path / "state.json").write_text(json.dumps(state.value))
+    del lines[:]
+    write_log(log, event(60, "U", table="people", id=1, name="b"), event(60, "D", table="people", id=3), event(70, table="people", id=9, name="n", x=2.5, updated_at="2024-05-05 10:00:00"))
+    state = job.sync(catalog, state)
+    records = [m["record"] for m in lines if m["type"] == "RECORD"]
+    assert [r["id"] for r in records] == [1, 1, 3, 9] and records[2]["_sdc_deleted_at"] and records[3] == {"_sdc_deleted_at": None, "id": 9, "name": "n", "updated_at": "2024-05-05T10:00:00+00:00", "x": 2.5}
+    assert "_sdc_deleted_at" in lines[0]["schema"]["properties"] and state.get("public-people", "lsn") == 60 and (tmp_path / "confirmed").read_text() == "50"
+    del lines[:]
+    spark.sql("select 1 id, 'z' name, 1 more, timestamp_ntz'2024-01-01 00:00:00' updated_at, 1.0D x").write.parquet(f"{source.root}/people.parquet", mode="overwrite")
+    catalog["streams"][0]["metadata"] = [m for m in catalog["streams"][0]["metadata"] if m["breadcrumb"] != ["properties", "more"]]
+    write_log(log, event(80, table="people", id=10, more=7, gone=1))
+    job.sync(catalog, state)
+    last = [m for m in lines if m["type"] in ("SCHEMA", "RECORD")][-1]
+    assert last["record"] == {"_sdc_deleted_at": None, "id": 10, "more": 7} and "more" in [m for m in lines if m["type"] == "SCHEMA"][-1]["schema"]["properties"]
+
+
 def test_odd_action_fails_only_on_own_tables(spark):
     from pyspark.errors import PySparkException
 

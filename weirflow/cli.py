@@ -15,6 +15,7 @@ from .plans.catalog import catalog_json
 from .plans.run import Run
 from .plans.state import State
 from .sources.relations import JdbcSource, ParquetSource
+from .streaming.runner import LogRunner
 
 LOG = logging.getLogger("weirflow")
 
@@ -46,7 +47,9 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None, out=No
         source = ParquetSource(spark, raw["parquet_root"], tuple(raw.get("tables", ())))
     else:
         source = JdbcSource(spark, settings, tuple(tuple(t) for t in raw.get("tables", ())))
-    job = Run(spark, source, settings, emit)
+    log = raw.get("change_log")
+    reader = LogRunner(spark, settings, log["path"], log["checkpoint"], log.get("confirm"), given.state) if log else None
+    job = Run(spark, source, settings, emit, reader, reader.current_lsn if reader else None)
     if given.discover:
         emit(catalog_json(job.discovered()))
         return None

@@ -75,7 +75,7 @@ def entries() -> Column:
 def assemble(events: DataFrame, stream: LogStream, extracted_at: str, debug_lsn: bool = False) -> DataFrame:
     """Typed rows of one stream's routed events, in columns of its selected names.
 
-    ``present`` lists the names that the event carries: others are not null but absent.
+    ``_seq`` orders rows that share a position.  ``_present`` lists the names that the event carries: others are not null but absent.
     """
     if stream.version is None:
         raise ValueError(f"stream {stream.stream_id} has no version")
@@ -85,7 +85,8 @@ def assemble(events: DataFrame, stream: LogStream, extracted_at: str, debug_lsn:
     if debug_lsn:
         extra.append(F.col("lsn").cast("string").alias(POSITION))
     present = F.transform(F.coalesce(F.col("_entries"), F.array().cast(ENTRIES)), lambda e: e["name"]).alias("_present")
-    return rows.select(F.col("lsn").alias("_lsn"), F.col("action").alias("_action"), present, *values, *extra)
+    place = F.col("seq") if "seq" in events.columns else F.lit(0).cast("bigint")
+    return rows.select(F.col("lsn").alias("_lsn"), place.alias("_seq"), F.col("action").alias("_action"), present, *values, *extra)
 
 
 def drift(events: DataFrame, known: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from types import MappingProxyType
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,14 @@ def new_version() -> int:
 
 
 class Run:
-    """One run over a source.  ``emit`` gets each message as a line; data always comes before the state behind it."""
+    """One run over a source.
 
-    def __init__(self, spark: SparkSession, source: Any, settings: Settings, emit: Emit, log: Callable[[Sequence[LogStream], State, int, Emit], None] | None = None, current_lsn: Callable[[], int] | None = None, current_xid: Callable[[], int] | None = None):
+    ``emit`` gets each message as a line; data always comes before the state behind it.  ``log`` consumes the
+    change log of some streams: it gets them, the state, the end position, ``emit``, and what to call when rows
+    carry new columns (see ``streaming.runner``).
+    """
+
+    def __init__(self, spark: SparkSession, source: Any, settings: Settings, emit: Emit, log: Callable[..., None] | None = None, current_lsn: Callable[[], int] | None = None, current_xid: Callable[[], int] | None = None):
         self.spark, self.source, self.settings, self.emit = spark, source, settings, emit
         self.log, self.current_lsn, self.current_xid = log, current_lsn, current_xid
         self.extracted_at = now()
@@ -201,8 +207,24 @@ class Run:
             for s in group:
                 s.add_automatic(self.settings.debug_lsn)
                 self._schema(s, ["lsn"])
-            parts = [LogStream(s.id, s.schema_name, s.table, state.get(s.id, "version"), {c: s.datatype(c) or "text" for c in s.columns}, frozenset(s.entry["schema"]["properties"])) for s in group]
-            self.log(parts, state, end_lsn, self.emit)
+            self.log(self._log_streams(group, state), state, end_lsn, self.emit, lambda new, group=group: self._drifted(group, state, new))
+
+    def _log_streams(self, streams: Sequence[Stream], state: State, seen: Mapping[tuple[str, str], Sequence[str]] = MappingProxyType({})) -> list[LogStream]:
+        """What a session has to know of its streams; ``seen`` names columns that have been looked for."""
+        out = []
+        for s in streams:
+            known = frozenset(s.entry["schema"]["properties"]) | frozenset(seen.get((s.schema_name, s.table), ()))
+            out.append(LogStream(s.id, s.schema_name, s.table, state.get(s.id, "version"), {c: s.datatype(c) or "text" for c in s.columns}, known))
+        return out
+
+    def _drifted(self, streams: Sequence[Stream], state: State, new: Mapping[tuple[str, str], Sequence[str]]) -> list[LogStream]:
+        """Reads the schemas of the tables that have grown again, and says them before their next record."""
+        grown = [s for s in streams if (s.schema_name, s.table) in new]
+        refresh(grown, self.discovered(tables=list(new)))
+        for s in grown:
+            s.add_automatic(self.settings.debug_lsn)
+            self._schema(s, ["lsn"])
+        return self._log_streams(streams, state, new)
 
 
 def _plain(value: Any) -> Any:

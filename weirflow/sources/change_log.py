@@ -1,6 +1,7 @@
 """A change log as a Spark data source, for batch and streaming reads.
 
-The log is a folder of JSON lines, each with an ``lsn`` and a ``payload``, that driver and executors share.
+The log is a folder of JSON lines, each with an ``lsn`` and a ``payload``, that driver and executors share;
+``seq`` is a line's place among them, which orders lines that share a position.
 As a stream its offsets are positions; ``commit`` confirms a position to the log's owner by writing it to a
 file, and never confirms more than what the consumer has committed.
 """
@@ -17,16 +18,16 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
 
-SCHEMA = "lsn bigint, schema string, `table` string, action string, payload string"
+SCHEMA = "lsn bigint, seq bigint, schema string, `table` string, action string, payload string"
 NAME = "weirflow_change_log"
 
 
 class Span(InputPartition):
-    """Lines of one file whose positions lie above ``after`` and not above ``upto``."""
+    """Lines of one file, the ``place``-th, whose positions lie above ``after`` and not above ``upto``."""
 
-    def __init__(self, path: str, after: int, upto: int | None):
-        super().__init__((path, after, upto))
-        self.path, self.after, self.upto = path, after, upto
+    def __init__(self, path: str, place: int, after: int, upto: int | None):
+        super().__init__((path, place, after, upto))
+        self.path, self.place, self.after, self.upto = path, place, after, upto
 
 
 def _lines(path: str) -> Iterator[tuple[int, Any]]:
@@ -38,7 +39,7 @@ def _lines(path: str) -> Iterator[tuple[int, Any]]:
 
 
 def _rows(span: Span, wanted: dict[str, frozenset]) -> Iterator[tuple]:
-    for lsn, payload in _lines(span.path):
+    for n, (lsn, payload) in enumerate(_lines(span.path)):
         if lsn <= span.after or (span.upto is not None and lsn > span.upto):
             continue
         try:
@@ -48,7 +49,7 @@ def _rows(span: Span, wanted: dict[str, frozenset]) -> Iterator[tuple]:
         parts = event if isinstance(event, dict) else {}
         row = {k: parts.get(k) for k in ("schema", "table", "action")}
         if all(row[k] in v for k, v in wanted.items()):
-            yield lsn, row["schema"], row["table"], row["action"], payload
+            yield lsn, (span.place << 40) + n, row["schema"], row["table"], row["action"], payload
 
 
 class _Files:
@@ -78,7 +79,7 @@ class LogReader(_Files, DataSourceReader):
             self.wanted[name] = self.wanted.get(name, frozenset(values)) & frozenset(values)
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [Span(f, self.after, self.upto) for f in self.files()]
+        return [Span(f, k, self.after, self.upto) for k, f in enumerate(self.files())]
 
     def read(self, partition: Span) -> Iterator[tuple]:
         return _rows(partition, self.wanted)
@@ -102,7 +103,7 @@ class LogStreamReader(_Files, DataSourceStreamReader):
         return {"lsn": max(self.start, top if self.end is None else min(top, self.end))}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [Span(f, start["lsn"], end["lsn"]) for f in self.files()]
+        return [Span(f, k, start["lsn"], end["lsn"]) for k, f in enumerate(self.files())]
 
     def read(self, partition: Span) -> Iterator[tuple]:
         return _rows(partition, {})

@@ -39,6 +39,8 @@ class ParquetSource:
     names: tuple[str, ...]
     schema: str = "public"
     facts: Mapping[str, Fact] = field(default_factory=dict)
+    #: Whether discovery counts rows: a scan without columns, which reads the files' footers.
+    counted: bool = False
 
     def rows(self, schema: str, table: str) -> DataFrame:
         if schema != self.schema or table not in self.names:
@@ -49,7 +51,8 @@ class ParquetSource:
         out = []
         for name in self.names:
             fact = self.facts.get(name, Fact())
-            out.append(Relation(self.schema, name, self.rows(self.schema, name), fact.keys, "v" if fact.is_view else "r"))
+            rows = self.rows(self.schema, name)
+            out.append(Relation(self.schema, name, rows, fact.keys, "v" if fact.is_view else "r", rows.count() if self.counted else 0))
         return out
 
     def fact(self, table: str) -> Fact:

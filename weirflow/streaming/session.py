@@ -54,7 +54,7 @@ class LogSession:
     def take(self, batch: DataFrame, batch_id: int = 0) -> None:
         """One micro-batch: parse, route, decode, write; then positions move."""
         spark = batch.sparkSession
-        log = batch.select("lsn", "payload")
+        log = batch.select("lsn", "payload", *[c for c in ("seq",) if c in batch.columns])
         if self.end_lsn is not None:
             log = changelog.until(log, self.end_lsn)
         events = changelog.parse(log).persist()
@@ -65,8 +65,8 @@ class LogSession:
             for s in self.streams:
                 decoded = changelog.assemble(routed, s, self.extracted_at, self.debug_lsn)
                 names = [*s.selected, changelog.DELETED_AT, *([changelog.POSITION] if self.debug_lsn else [])]
-                lines = messages.record_messages(decoded, f"{s.schema}-{s.table}", s.version, self.extracted_at, {n: F.col(f"`{n}`") for n in names}, ["_lsn"], F.col("_present"))
-                n = self.write(lines.orderBy("_order_0"))
+                lines = messages.record_messages(decoded, f"{s.schema}-{s.table}", s.version, self.extracted_at, {n: F.col(f"`{n}`") for n in names}, ["_lsn", "_seq"], F.col("_present"))
+                n = self.write(lines.orderBy("_order_0", "_order_1"))
                 if n:
                     self.rows[s.stream_id] = self.rows.get(s.stream_id, 0) + n
                     last = decoded.agg(F.max("_lsn")).first()[0]
