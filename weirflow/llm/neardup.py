@@ -347,3 +347,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "documents"), size=3, threshold=Fraction(85, 100))
+
+
+ORACLE = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (
+  select distinct doc_id, array_to_string(list_slice(ws, k, k + 2), ' ') g
+  from w, lateral (select unnest(range(1, greatest(len(ws) - 2, 1) + 1)) k) where len(ws) > 0),
+n as (select doc_id, count(*) n from s group by doc_id),
+shared as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (select x, y from shared join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 85 * (p.n + q.n - c)),
+edges as (select x, y from links union all select y, x from links),
+reach as (select doc_id, doc_id other from documents union select r.doc_id, e.y from reach r join edges e on r.other = e.x),
+least as (select doc_id, min(other) component_id from reach group by doc_id)
+select d.doc_id, coalesce(n.n, 0) n_shingles, l.component_id, d.doc_id = l.component_id kept
+from documents d join least l on l.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""

@@ -17,8 +17,9 @@ QUERIES = {
     "op10_quality_classifier": quality.op10_quality_classifier,
 }
 
-#: Near-duplicates need a walk over a graph, tokens a vocabulary, trees and models a program: those have no SQL.
+#: Tokens need a vocabulary, trees and models a program: those have no SQL.
 ORACLE_SQL = {
+    "op1_minhash_near_dedup": neardup.ORACLE,
     "op4_benchmark_decontamination": decontam.ORACLE,
     "op6_exact_top_k": search.ORACLE,
     "op7_secret_scan": secrets.ORACLE,
