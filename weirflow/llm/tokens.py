@@ -17,7 +17,6 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +42,9 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class PrefixCounter:
-    """Exact token counts of every prefix of a text, with tables of pieces kept up to a bound."""
+    """Exact token counts of every prefix of a text, with tables of pieces kept up to a bound (twice ``bound``)."""
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 300_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -66,6 +65,7 @@ class PrefixCounter:
         self.pieces = regex.compile(_PIECES)
         self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.bound, self.known, self.whole, self.fits = bound, {}, {}, {}
+        self.old_known, self.old_whole = {}, {}  # the older halves of the memory, which go next
 
     def _merged(self, data: bytes) -> list[int]:
         """Plain BPE; used on single tokens only, to find those that never occur."""
@@ -139,6 +139,8 @@ class PrefixCounter:
     def _chars(self, text: str):
         """As piece(), at the ends of characters; kept for short pieces, which recur with other punctuation."""
         out = self.whole.get(text)
+        if out is None and (out := self.old_whole.get(text)) is not None:
+            self.whole[text] = out
         if out is None:
             data = text.encode()
             out = self.piece(data)
@@ -152,7 +154,7 @@ class PrefixCounter:
                 out = ends
             if len(text) <= 64:
                 if len(self.whole) >= self.bound:
-                    self.whole.clear()
+                    self.old_whole, self.whole = self.whole, {}
                 out = self.whole[text] = bytes(out) if out[-1] < 256 else out
         return out
 
@@ -175,17 +177,24 @@ class PrefixCounter:
             at, total = at + len(p), total + own[-1]
         return bytes(counts) if max(counts) < 256 else array("I", counts)
 
-    def _tables(self, text: str) -> Iterator[bytes | array]:
-        known = self.known
-        for s in _segment.findall(text):
-            t = known.get(s)
-            if t is None:
-                t = self.segment(s)
-                if len(s) <= 64:
-                    if len(known) >= self.bound:
-                        known.clear()
-                    known[s] = t
-            yield t
+    def _tables(self, text: str) -> tuple[list[str], dict[str, bytes | array]]:
+        """The text's segments, and the tables of all of them."""
+        segments = _segment.findall(text)
+        if len(self.known) >= self.bound:
+            self.old_known, self.known = self.known, {}
+        known, old = self.known, self.old_known
+        long = []
+        for s in set(segments).difference(known):
+            t = old.get(s)
+            known[s] = self.segment(s) if t is None else t
+            if len(s) > 64:
+                long.append(s)
+        if long:
+            tables = {s: known[s] for s in set(segments)}
+            for s in long:
+                del known[s]
+            return segments, tables
+        return segments, known
 
     def total(self, text: str | None) -> int:
         """Tokens of the whole text: the table's last entry."""
@@ -193,7 +202,8 @@ class PrefixCounter:
             return 0
         if self.parts is not None and any(s in text for s in self.special):
             return sum(1 if k % 2 else self.total(p) for k, p in enumerate(self.parts.split(text)))
-        return sum(t[-1] for t in self._tables(text))
+        segments, tables = self._tables(text)
+        return sum([tables[s][-1] for s in segments])
 
     def prefixes(self, text: str | None) -> np.ndarray:
         """``out[i]`` is the exact token count of the first ``i`` characters."""
@@ -208,9 +218,10 @@ class PrefixCounter:
                 out.append(np.array([start + self.total(tail + p[:i]) for i in range(1, len(p))] + [base + 1]))
                 base += 1
                 continue
-            for t in self._tables(p):
-                out.append(base + np.array(list(t), np.int64))
-                base += t[-1]
+            segments, tables = self._tables(p)
+            for s in segments:
+                out.append(base + np.array(list(tables[s]), np.int64))
+                base += tables[s][-1]
         return np.concatenate(out)
 
     def truncate(self, text: str | None, budget: int) -> str:
