@@ -50,6 +50,15 @@ def _double(net, x, d, trace):
     return np.array(out)
 
 
+def test_scoring_is_the_trained_network():
+    rng = np.random.default_rng(1)
+    net = langid.Network(["x", "y", "z"])
+    x = rng.integers(0, 256, (20, 7)).astype(np.uint8)
+    logits = net.states(x, "f") @ net.p["Of"] + net.states(x[::-1], "b")[::-1] @ net.p["Ob"] + net.p["c"]
+    expected = np.exp(logits) / np.exp(logits).sum(axis=-1, keepdims=True)
+    assert np.allclose(net.probs(x).transpose(0, 2, 1), expected, atol=1e-5)
+
+
 def test_language_is_learned_and_pooled():
     rng = random.Random(1)
     rows = [(text(rng, lang, 30), lang) for lang in SYLLABLES for _ in range(60)]

@@ -6,8 +6,10 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hashed_sample(df: DataFrame, rows: int, total: int, *key: str) -> DataFrame:
+    """At most ``rows`` rows, those of the smallest hash of ``key``; ``total`` is about how many there are.
+
+    Rows far above the cut are left out before the order is taken, so that what the tasks send on is about
+    three times the sample in all, and not a sample from each of them.
+    """
+    h = F.xxhash64(*key)
+    if total > 4 * rows:
+        df = df.where(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * 3 * rows / total))
+        h = F.pmod(h, F.lit(1 << 40))
+    return df.withColumn("_hash", h).orderBy("_hash", *key).limit(rows).drop("_hash")
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
@@ -92,6 +107,21 @@ def crc_bucket(doc_id: Column, buckets: int = 4) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+def gathered(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """The first two columns, ids and texts, of as many batches as have about ``block`` characters together."""
+    ids, texts, size = [], [], 0
+    for b in batches:
+        new = b.column(1).to_pylist()
+        ids.append(b.column(0))
+        texts += new
+        size += sum(len(t) for t in new if t)
+        if size >= block:
+            yield pa.concat_arrays(ids), texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), texts
+
+
 # --- word shingles -------------------------------------------------------------------------------
 
 _words = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -108,7 +138,7 @@ def words_of(text: str | None, plain: bool = False) -> list[bytes]:
 class WordIds:
     """64-bit hashes of words, remembered up to a bound; the memory is emptied when it is full."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 200_000):
         self.bound, self.known = bound, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:

@@ -64,11 +64,40 @@ class Network:
             out[t] = s
         return out
 
-    def log_probs(self, x: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
-        """Log-probabilities (T, B, C) at every position of x (T, B)."""
-        logits = self.states(x, "f") @ self.p["Of"] + self.states(x[::-1], "b")[::-1] @ self.p["Ob"] + self.p["c"]
-        logits -= logits.max(axis=-1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+    def _fast_states(self, x: np.ndarray, d: str) -> np.ndarray:
+        """As ``states``, for scoring: (T, H, B), with the batch innermost so that each step is a few long loops."""
+        h, n = self.h, x.shape[1]
+        W, U = (np.ascontiguousarray(self.p[k + d].T) for k in "WU")
+        W[: 2 * h] *= 0.5  # the logistic function is a tanh of half its argument
+        U[: 2 * h] *= 0.5
+        s, out = np.zeros((h, n), np.float32), np.empty((len(x), h, n), np.float32)
+        a, r = np.empty((3 * h, n), np.float32), np.empty((3 * h, n), np.float32)
+        gates, z, reset, new, rest = a[: 2 * h], a[:h], a[h : 2 * h], a[2 * h :], r[2 * h :]
+        for t in range(len(x)):
+            np.take(W, x[t], axis=1, out=a, mode="clip")
+            np.matmul(U, s, out=r)
+            gates += r[: 2 * h]
+            np.tanh(gates, out=gates)
+            gates += 1
+            gates *= 0.5
+            rest *= reset
+            new += rest
+            np.tanh(new, out=new)
+            s -= new
+            s *= z
+            s += new
+            out[t] = s
+        return out
+
+    def probs(self, x: np.ndarray) -> np.ndarray:
+        """Distributions (T, C, B) at every position of x (T, B)."""
+        out = np.matmul(self.p["Of"].T, self._fast_states(x, "f"))
+        out += np.matmul(self.p["Ob"].T, self._fast_states(x[::-1], "b")[::-1])
+        out += self.p["c"][:, None]
+        out -= out.max(axis=1, keepdims=True)
+        np.exp(out, out=out)
+        out /= out.sum(axis=1, keepdims=True)
+        return out
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss and gradients, by backpropagation through time; y and weight are by sequence."""
@@ -147,18 +176,19 @@ class Network:
         for k, p in enumerate(parts):
             x[k, : len(p)] = p
         lengths = np.array([len(p) for p in parts])
-        prob = np.exp(self.log_probs(np.ascontiguousarray(x.T)))
+        prob = self.probs(np.ascontiguousarray(x.T))
         if (lengths < width).any():
-            prob *= (np.arange(width)[:, None] < lengths)[:, :, None]
-        np.add.at(pooled, owner, prob.sum(axis=0))
+            prob *= (np.arange(width)[:, None] < lengths)[:, None, :]
+        np.add.at(pooled, owner, prob.sum(axis=0).T)
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE, window: int = WINDOW) -> list[tuple[str, str]]:
     """(window, lang) of a bounded sample of rows outside the held-out quarter, by a hash of the row."""
-    learn = docs.where("lang is not null and text is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
+    learn = docs.where("lang is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
+    total = learn.select("lang").count()
     at = F.lit(1) + F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - window, F.lit(1)))
-    picked = learn.select(F.substring(F.col("text"), at.cast("int"), F.lit(window)).alias("part"), "lang", F.xxhash64("doc_id", F.lit(3)).alias("h"))
-    return [(r["part"], r["lang"]) for r in picked.orderBy("h", "part", "lang").limit(rows).collect()]
+    picked = learn.where("text is not null").select("doc_id", F.substring(F.col("text"), at.cast("int"), F.lit(window)).alias("part"), "lang")
+    return [(r["part"], r["lang"]) for r in common.hashed_sample(picked, rows, total, "doc_id", "part", "lang").collect()]
 
 
 def fit(rows: list[tuple[str, str]], **settings) -> Network | None:
