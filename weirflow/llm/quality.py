@@ -147,13 +147,15 @@ def _featured(rows: DataFrame, schema: str) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """The model of a bounded sample of labelled rows and one of unlabelled text."""
     marked = labels.where("doc_id is not null and quality is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
-    marked = marked.select("doc_id", F.col("quality").cast("int").alias("quality"), F.lit(True).alias("marked")).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "quality").limit(rows)
-    plain = docs.where(common.crc_bucket(F.col("doc_id")) != 2).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(rows)
-    plain = plain.distinct().select("doc_id", F.lit(-1).alias("quality"), F.lit(False).alias("marked"))
+    marked = marked.select("doc_id", F.col("quality").cast("int").alias("quality"), F.lit(True).alias("marked"))
+    marked = common.hashed_sample(marked, rows, marked.count(), "doc_id", "quality")
+    plain = docs.where(common.crc_bucket(F.col("doc_id")) != 2).select("doc_id")
+    plain = common.hashed_sample(plain, rows, plain.count(), "doc_id").distinct().select("doc_id", F.lit(-1).alias("quality"), F.lit(False).alias("marked"))
     # at most 2 * rows ids
     chosen = docs.sparkSession.createDataFrame(marked.union(plain).collect(), marked.schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = _featured(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "marked", "text"), f"doc_id {kind}, quality int, marked boolean")
+    # rows that repeat a chosen doc_id are all featured; so many in all, however often it is repeated
     got = found.select("doc_id", "quality", "marked", "features").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "quality").limit(4 * rows).collect()
     x = np.array([r["features"] for r in got], np.float64).reshape(len(got), WIDTH)
     y = np.array([r["quality"] if r["marked"] else -1 for r in got], int)
