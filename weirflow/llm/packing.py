@@ -13,10 +13,15 @@ gives an empty result; a null doc_id is kept; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +30,8 @@ from . import common
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
+#: Characters whose pieces are numbered at once.
+BLOCK = 4_000_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) in order of place
 
@@ -145,47 +152,100 @@ def slots(patterns: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int,
     return out
 
 
+#: Characters below this have no marks to compose and lower-case one by one, but for U+0130.
+PLAIN = 0x250
+
+
+def _class(kind: str) -> str:
+    """The characters of a Unicode category, below PLAIN, as they stand within a regex's brackets."""
+    return "".join(f"\\u{c:04x}" for c in range(PLAIN) if unicodedata.category(chr(c))[0] == kind)
+
+
 class WordTokens:
-    """Ids of texts of a vocabulary that drops white space: words encode alone and are remembered."""
+    """Ids of texts of a vocabulary that composes, lower-cases and drops white space.
+
+    The pieces that the vocabulary's pattern cuts a text into encode alone, so they are remembered up to a
+    bound; when it is reached the older half goes.  Texts of Latin letters are cut here by the same pattern;
+    others are parted at white space, which is always dropped, and their words encoded by the library.
+    """
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 200_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.bound, self.known = Tokenizer.from_file(path), bound, {}
+        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
+        letters, numbers = _class("L"), _class("N")
+        # the vocabulary's pattern; alternatives that begin alike keep their order
+        self.cut = re.compile(rf"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.hard = re.compile(rf"[^\t-\r -~\u00a1-\u012f\u0131-\u{PLAIN - 1:04x}]|<\|")
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Encodes words in one call, parted by line ends, and deals the ids to them by place."""
-        texts = [w.decode() for w in words]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Encodes texts without line ends in one call, and deals the ids to them by place."""
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
         got = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
         ids = np.array(got.ids, "<u4")
         at = np.array([o[0] for o in got.offsets], np.int64)
         cuts = np.searchsorted(at, starts)
-        return {w: ids[cuts[k] : cuts[k + 1]].tobytes() for k, w in enumerate(words)}
+        return [ids[cuts[k] : cuts[k + 1]].tobytes() for k in range(len(texts))]
+
+    def _parts(self, text: str | None) -> list[str]:
+        """The pieces of a text, or its words where it has to go to the library."""
+        if not text:
+            return []
+        if self.hard.search(text):
+            return [w.decode() for w in text.encode().split()]  # at ASCII white space
+        return self.cut.findall(text.lower())
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        if len(self.known) >= self.bound:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        new = []
+        for p in parts:
+            if p not in known:
+                if p in old:
+                    known[p] = old[p]
+                else:
+                    new.append(p)
+        known.update(zip(new, self._encode(new)) if new else ())
+        out = list(map(known.__getitem__, parts))
+        for p in [p for p in new if len(p) > 64]:
+            del known[p]
+        return out
+
+    def many(self, texts: list[str | None], end: int = 0, block: int = BLOCK) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text and the end id.
+
+        Texts are taken in blocks of about ``block`` characters: their pieces are numbered, each distinct piece is
+        looked up once, and the ids are gathered by number.
+        """
+        tail, at = end.to_bytes(4, "little"), 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and size < block:
+                split.append(self._parts(texts[at]))
+                size += len(texts[at] or "")
+                at += 1
+            coded = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+            pieces = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            number = coded.indices.to_numpy()
+            length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+            start = np.cumsum(length) - length
+            each = length[number]
+            ends = np.concatenate([[0], np.cumsum(each)])
+            flat = np.frombuffer(b"".join(pieces), "<u4")
+            ids = flat[np.repeat(start[number] - ends[:-1], each) + np.arange(ends[-1])]
+            cuts = ends[np.cumsum([0, *map(len, split)])]
+            for k in range(len(split)):
+                yield ids[cuts[k] : cuts[k + 1]].tobytes() + tail
 
     def __call__(self, text: str | None, end: int = 0) -> bytes:
-        """Little-endian 32-bit ids of the text and the end id."""
-        words = (text or "").encode().split()  # at ASCII white space, which the vocabulary always drops
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        extra = {}
-        if new:
-            if len(known) + len(new) > self.bound:
-                known.clear()
-                new = list(set(words))
-            extra = self._learn(new)
-            if len(new) > self.bound:
-                known = extra
-            else:
-                known.update((w, i) for w, i in extra.items() if len(w) <= 64)
-        if extra:
-            rare = {w: i for w, i in extra.items() if len(w) > 64}
-            if rare:
-                return b"".join([known[w] if w in known else rare[w] for w in words]) + end.to_bytes(4, "little")
-        return b"".join(map(known.__getitem__, words)) + end.to_bytes(4, "little")
+        return next(self.many([text], end))
 
 
 _tokens: dict[str, WordTokens] = {}
@@ -205,23 +265,21 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     """A row for each piece, with the task that made it and its rank among that task's pieces of its length."""
 
     def run(batches):
-        import pyarrow as pa
         from pyspark import TaskContext
 
         tokens, task, seen = word_tokens(vocabulary), TaskContext.get().partitionId(), defaultdict(int)
-        for b in batches:
+        for ids, texts in common.gathered(batches, BLOCK):
             rows: list[list] = [[] for _ in range(6)]
-            for k, text in enumerate(b.column(1).to_pylist()):
-                ids = tokens(text)
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
+            for k, blob in enumerate(tokens.many(texts)):
+                for piece, start in enumerate(range(0, len(blob) // 4, capacity)):
+                    part = blob[4 * start : 4 * (start + capacity)]
                     n = len(part) // 4
                     for column, value in zip(rows, (k, piece, start, n, zlib.crc32(part), seen[n])):
                         column.append(value)
                     seen[n] += 1
             at, piece, start, n, crc, rank = rows
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(n), pa.int32()), pa.array(rank, pa.int64())],
+                [ids.take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(n), pa.int32()), pa.array(rank, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "task", "local_rank"],
             )
 
