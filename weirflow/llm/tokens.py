@@ -17,8 +17,10 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
@@ -26,6 +28,8 @@ from . import common
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 NEVER = 1 << 40
+#: Characters whose segments are numbered at once.
+BLOCK = 4_000_000
 
 # White space by Unicode's property, and the public splitting pattern of this vocabulary (fixed values).
 _WS = r"\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -61,7 +65,10 @@ class PrefixCounter:
         self.special = [t["content"] for t in spec["added_tokens"] if t["special"]]
         # a token that its own text doesn't encode to never occurs
         self.vocab = {t: i for t, i in vocab.items() if len(t) == 1 or self._merged(t) == [i]}
-        self.longest = max(map(len, self.vocab))
+        self.reach: dict[bytes, int] = {}  # by three last bytes: the longest token that ends in them
+        for t in self.vocab:
+            if len(t) > 2:
+                self.reach[t[-3:]] = max(len(t), self.reach.get(t[-3:], 0))
         self.pieces = regex.compile(_PIECES)
         self.parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.bound, self.known, self.whole, self.fits = bound, {}, {}, {}
@@ -126,10 +133,11 @@ class PrefixCounter:
 
     def piece(self, data: bytes) -> list[int]:
         """Counts at every byte prefix (from 0) of a text that isn't split further."""
-        n, vocab, longest, fit = len(data), self.vocab, self.longest, self._fit
+        n, vocab, reach, fit = len(data), self.vocab, self.reach.get, self._fit
         last, count = [0] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            for j in range(i - longest if i > longest else 0, i):
+            most = reach(data[i - 3 : i], 2) if i > 2 else i
+            for j in range(i - most if i > most else 0, i):
                 t = vocab.get(data[j:i])
                 if t is not None and (not j or fit(last[j], t)):
                     last[i], count[i] = t, count[j] + 1
@@ -205,6 +213,32 @@ class PrefixCounter:
         segments, tables = self._tables(text)
         return sum([tables[s][-1] for s in segments])
 
+    def totals(self, texts: list[str | None]) -> np.ndarray:
+        """As ``total`` of each text: segments are numbered, and each distinct one's table is looked up once."""
+        special = self.special
+        odd = [k for k, t in enumerate(texts) if t and any(s in t for s in special)]
+        split = [_segment.findall(t) if t else [] for t in texts]
+        for k in odd:
+            split[k] = []
+        coded = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+        last = []
+        for s in coded.dictionary.to_numpy(zero_copy_only=False).tolist():
+            t = self.known.get(s)
+            if t is None:
+                t = self.old_known.get(s)
+                if t is None:
+                    t = self.segment(s)
+                if len(s) <= 64:
+                    if len(self.known) >= self.bound:
+                        self.old_known, self.known = self.known, {}
+                    self.known[s] = t
+            last.append(t[-1])
+        ends = np.concatenate([[0], np.cumsum(np.array(last, np.int64)[coded.indices.to_numpy()])])
+        out = np.diff(ends[np.cumsum([0, *map(len, split)])])
+        for k in odd:
+            out[k] = self.total(texts[k])
+        return out
+
     def prefixes(self, text: str | None) -> np.ndarray:
         """``out[i]`` is the exact token count of the first ``i`` characters."""
         out = [np.zeros(1, np.int64)]
@@ -248,15 +282,10 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     """doc_id, n_bytes, n_tokens and over_limit of every whole text."""
 
     def run(batches):
-        import pyarrow as pa
-
         c = counter(vocabulary)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            n = [c.total(t) for t in texts]
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": b.column(0), "n_bytes": pa.array([len((t or "").encode()) for t in texts], pa.int64()), "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array([x > limit for x in n], pa.bool_())}
-            )
+        for ids, texts in common.gathered(batches, BLOCK):
+            n = c.totals(texts)
+            yield pa.RecordBatch.from_arrays([ids, pa.array([len((t or "").encode()) for t in texts], pa.int64()), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
@@ -266,8 +295,6 @@ def prefix_table(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id and the counts at every prefix, one for each character and one for the empty prefix."""
 
     def run(batches):
-        import pyarrow as pa
-
         c = counter(vocabulary)
         for b in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "counts": pa.array([c.prefixes(t).astype(np.int32) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))})
@@ -280,8 +307,6 @@ def fit_budget(docs: DataFrame, budget: int, vocabulary: str = VOCABULARY) -> Da
     """doc_id and each text cut to its longest prefix of at most ``budget`` tokens (null stays null)."""
 
     def run(batches):
-        import pyarrow as pa
-
         c = counter(vocabulary)
         for b in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text": pa.array([None if t is None else c.truncate(t, budget) for t in b.column(1).to_pylist()], pa.string())})
