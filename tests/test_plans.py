@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from weirflow.config import BatchSettings, ConfigError, Settings, flag, schema_list
+from weirflow.config import ConfigError, Settings, flag, schema_list
 from weirflow.functions.types import ColumnInfo
 from weirflow.operators import changelog, messages
 from weirflow.plans import catalog, servers

@@ -10,7 +10,6 @@ from types import MappingProxyType
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import convert

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import convert, literals, log_values, lsn, names, temporal, types
+from .functions import convert, literals, lsn, names, temporal, types
 from .operators import apply, batches, changelog, incremental, messages, snapshot
 from .operators.changelog import LogStream
 from .plans import catalog, servers, state
