@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +110,19 @@ def crc_bucket(doc_id: Column, buckets: int = 4) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+def releasing(kernel: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A kernel that gives free memory back when its task ends: the worker waits on beside later stages."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from kernel(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def gathered(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[pa.Array, list[str | None]]]:
     """The first two columns, ids and texts, of as many batches as have about ``block`` characters together."""
     ids, texts, size = [], [], 0

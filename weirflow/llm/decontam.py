@@ -120,7 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, thresh
                     kinds = _arrow(item_kind)
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(item_id, kinds), pa.array(n, pa.int64()), pa.array(both, pa.int64()), pa.array(share, pa.float64())], ["doc_id", "item_id", "item_shingles", "shared", "containment"])
 
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return docs.select("doc_id", "text").mapInArrow(common.releasing(run), schema)
 
     out = None
     for k in range(blocks):

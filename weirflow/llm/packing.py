@@ -284,7 +284,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, local_rank long")
+    return docs.select("doc_id", "text").mapInArrow(common.releasing(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, local_rank long")
 
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:

@@ -141,7 +141,7 @@ def _featured(rows: DataFrame, schema: str) -> DataFrame:
             rest = [c for c in b.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(f, pa.list_(pa.float32()))], [*rest, "features"])
 
-    return rows.mapInArrow(run, schema + ", features array<float>")
+    return rows.mapInArrow(common.releasing(run), schema + ", features array<float>")
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
@@ -186,7 +186,7 @@ def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32))], [*rest, "score", "predicted"])
 
     schema = docs.select(*rest).schema.add("score", "double").add("predicted", "integer")
-    return docs.select(*rest).mapInArrow(run, schema)
+    return docs.select(*rest).mapInArrow(common.releasing(run), schema)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
