@@ -36,6 +36,8 @@ MANTISSA = 10
 MISS = 1e-6
 #: Registers that are stored for the estimate.
 ESTIMATE = 128
+#: Rows of a file of labels while components are found.
+LABELS_IN_A_FILE = 200_000
 #: Counts in the table that orders shingles by rarity.
 SLOTS = 1 << 19
 #: The estimate rules out pairs this many standard deviations below the threshold.
@@ -143,7 +145,7 @@ def sketches(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
 
     # two hashes find the text of a node again, whatever its doc_id is
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_hashes())
-    return given.mapInArrow(run, "doc_id long, text_a long, text_b long, row long, n_shingles long, set_a long, set_b long, keys array<long>, registers binary")
+    return given.mapInArrow(common.releasing(run), "doc_id long, text_a long, text_b long, row long, n_shingles long, set_a long, set_b long, keys array<long>, registers binary")
 
 
 def text_hashes() -> list:
@@ -186,7 +188,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, size: int, threshold: Fraction
         return nodes.select(F.col("node").alias(node), F.col("text").alias(f"text_{mark}"), F.col("registers").alias(f"reg_{mark}"), F.col("n_shingles").alias(f"n_{mark}"))
 
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    return both.select("a", "b", "text_x", "text_y", "reg_x", "reg_y", "n_x", "n_y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "text_x", "text_y", "reg_x", "reg_y", "n_x", "n_y").mapInArrow(common.releasing(run), "a long, b long")
 
 
 def rare_prefixes(nodes: DataFrame, size: int, threshold: Fraction) -> DataFrame:
@@ -209,7 +211,7 @@ def rare_prefixes(nodes: DataFrame, size: int, threshold: Fraction) -> DataFrame
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
 
-    counted = nodes.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counted = nodes.select("text").mapInArrow(common.releasing(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(SLOTS, np.int64)
     table[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     held = spark.sparkContext.broadcast(table.clip(max=2**31 - 1).astype(np.int32))
@@ -231,7 +233,7 @@ def rare_prefixes(nodes: DataFrame, size: int, threshold: Fraction) -> DataFrame
                 owner = pa.array(np.concatenate(node))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *[b.column(c).take(owner) for c in (1, 2, 3, 4)], pa.array(np.concatenate(at))], ["token", "node", "component", "outside", "n", "place"])
 
-    return nodes.select("text", "node", "component", "outside", "n_shingles").mapInArrow(prefix, "token long, node long, component long, outside boolean, n long, place long")
+    return nodes.select("text", "node", "component", "outside", "n_shingles").mapInArrow(common.releasing(prefix), "token long, node long, component long, outside boolean, n long, place long")
 
 
 def prefix_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
@@ -250,14 +252,15 @@ def prefix_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
 
 def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(node, component) of the nodes that have edges (a, b); the component is its smallest node."""
-    both = scratch.keep(edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")), "edges")
-    labels = scratch.keep(both.groupBy("node").agg(F.least("node", F.min("to")).alias("component")), "labels")
+    parts = 1 + 2 * edges.count() // LABELS_IN_A_FILE  # each round writes its labels: few links make few files
+    both = scratch.keep(edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a")).coalesce(parts), "edges")
+    labels = scratch.keep(both.groupBy("node").agg(F.least("node", F.min("to")).alias("component")).coalesce(parts), "labels")
     while True:
-        around = scratch.keep(both.join(labels.withColumnRenamed("node", "to"), "to").groupBy("node").agg(F.min("component").alias("least")), "around")
-        lower = scratch.keep(labels.join(around, "node").select("node", "component", F.least("component", "least").alias("next")), "lower")
+        around = scratch.keep(both.join(labels.withColumnRenamed("node", "to"), "to").groupBy("node").agg(F.min("component").alias("least")).coalesce(parts), "around")
+        lower = scratch.keep(labels.join(around, "node").select("node", "component", F.least("component", "least").alias("next")).coalesce(parts), "lower")
         # a component's own label may have fallen meanwhile: jump to it
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("jumped"))
-        new = scratch.keep(lower.join(jump, "next").select("node", F.col("jumped").alias("component"), (F.col("jumped") != F.col("component")).alias("moved")), "labels")
+        new = scratch.keep(lower.join(jump, "next").select("node", F.col("jumped").alias("component"), (F.col("jumped") != F.col("component")).alias("moved")).coalesce(parts), "labels")
         moved = new.where("moved").limit(1).count()
         scratch.drop(around, lower, labels)
         labels = new
