@@ -232,17 +232,20 @@ class WordTokens:
                 size += len(texts[at] or "")
                 at += 1
             coded = pa.array(chain.from_iterable(split), pa.string()).dictionary_encode()
+            cuts = np.cumsum([0, *map(len, split)])
+            split = None  # the pieces' own memory goes before the ids are gathered
             pieces = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             number = coded.indices.to_numpy()
             length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
             start = np.cumsum(length) - length
             each = length[number]
             ends = np.concatenate([[0], np.cumsum(each)])
-            flat = np.frombuffer(b"".join(pieces), "<u4")
-            ids = flat[np.repeat(start[number] - ends[:-1], each) + np.arange(ends[-1])]
-            cuts = ends[np.cumsum([0, *map(len, split)])]
-            for k in range(len(split)):
-                yield ids[cuts[k] : cuts[k + 1]].tobytes() + tail
+            place = np.repeat(start[number] - ends[:-1], each)
+            place += np.arange(ends[-1])
+            ids = np.frombuffer(b"".join(pieces), "<u4")[place]
+            del place, each, coded, number
+            for a, b in zip(ends[cuts[:-1]], ends[cuts[1:]]):
+                yield ids[a:b].tobytes() + tail
 
     def __call__(self, text: str | None, end: int = 0) -> bytes:
         return next(self.many([text], end))
