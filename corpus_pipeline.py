@@ -16,24 +16,32 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id."""
-    kept = neardup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    held = common.Scratch(spark, "kept").keep(kept, "kept")
-    # Rows of a null doc_id belong to no group and stay; of rows that repeat a doc_id one stays.
-    named = docs.where("doc_id is not null").join(held, "doc_id", "left_semi").select(docs.columns)
-    first = named.dropDuplicates(["doc_id"]) if _repeats(docs) else named
-    return first.union(docs.where("doc_id is null").select(docs.columns))
+    """One row of each group of near-duplicates: that with the smallest doc_id; rows without words belong to no group and stay.
 
+    A row is known by its doc_id and its text, so that other texts of that doc_id, or of none, have a fate of their own.
+    """
+    scratch, key = common.Scratch(spark, "kept"), ["_id", "_text_a", "_text_b"]
+    first = scratch.keep(neardup.first_rows(docs).toDF(*key, "_n"), "kept")
+    worded = docs.where(neardup.has_words()).select("*", *neardup.text_hashes("_a", "_b"))
 
-def _repeats(docs: DataFrame) -> bool:
-    return bool(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
+    def met(some: DataFrame) -> DataFrame:
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_text_a")) & (F.col("_b") == F.col("_text_b"))
+        return worded.join(some, same)
+
+    out = docs.where(~neardup.has_words()).union(met(first.where("_n = 1")).select(docs.columns))
+    again = first.where("_n > 1")
+    if again.limit(1).count():  # rows equal in doc_id and text: the smallest by their other columns
+        out = out.union(met(again).groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
+    return out
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    leaks = decontam.contaminated(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    """Documents that contain no benchmark item, which is a matter of their text alone."""
+    key = ["_text_a", "_text_b"]
+    hashed = docs.select("*", *neardup.text_hashes(*key))
+    leaks = decontam.contaminated(hashed, common.table(spark, sf_dir, "benchmark"), keys=tuple(key)).select(*key).distinct()
     found = common.Scratch(spark, "leaks").keep(leaks, "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(docs.columns)
+    return hashed.join(found, key, "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

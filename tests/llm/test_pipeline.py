@@ -64,3 +64,23 @@ def test_odd_rows(spark, tables, sentence):
         assert out.count() >= 6
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), root).count() == 0
+
+
+def test_rows_that_share_an_id(spark, tables, sentence):
+    """A null or repeated doc_id names no row: each text has its own fate."""
+    root, _, item = tables
+    clean = [sentence(40) for _ in range(5)]
+    rows = [(None, clean[0]), (None, clean[0]), (None, f"{sentence(30)} {item}"), (None, clean[1]), (7, clean[2]), (7, clean[3]), (7, f"{item} {sentence(30)}"), (8, clean[2] + " more"), (9, clean[1]), (9, clean[1]), (10, clean[4]), (11, " "), (11, " "), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", 5) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r["source"] for r in corpus_pipeline.unleaked(spark, docs, root).collect())
+    assert got == sorted(f"s{k}" for k in range(15) if k not in (2, 6))
+    kept = [r["source"] for r in corpus_pipeline.unlike(spark, docs, root).collect()]
+    assert kept.count("s0") + kept.count("s1") == 1 and sorted(set(kept) - {"s0", "s1"}) == sorted(f"s{k}" for k in (2, 4, 5, 6, 8, 10, 11, 12, 13, 14)) and len(kept) == 11
+
+
+def test_the_group_keeps_one_text_of_an_id(spark, tables, sentence):
+    root, _, _ = tables
+    base = sentence(60)
+    docs = spark.createDataFrame([(5, base, "en", "a", 1), (5, base + " more", "en", "b", 1), (None, base, "en", "c", 1), (6, base, "en", "d", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.unlike(spark, docs, root).collect()
+    assert [r["doc_id"] for r in kept] == [5]

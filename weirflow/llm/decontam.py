@@ -90,15 +90,18 @@ class ItemIndex:
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, item_shingles, shared and containment of each document and item that it contains."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: Fraction = THRESHOLD, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """doc_id, item_id, item_shingles, shared and containment of each document and item that it contains.
+
+    ``keys`` are the columns that name a document.
+    """
     spark = docs.sparkSession
     common.arrow_rows(spark, 500)
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.max(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(total[0] / BLOCK_BYTES))
-    id_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {id_kind}, item_id {item_kind}, item_shingles long, shared long, containment double"
+    item_kind = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"{', '.join(f'{c} {docs.schema[c].dataType.simpleString()}' for c in keys)}, item_id {item_kind}, item_shingles long, shared long, containment double"
 
     def search(block: list[tuple]):
         held = spark.sparkContext.broadcast(block)
@@ -110,7 +113,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, thresh
             with np.errstate(over="ignore"):
                 for b in batches:
                     at, rows = [], []
-                    for k, text in enumerate(b.column(1).to_pylist()):
+                    for k, text in enumerate(b.column(len(keys)).to_pylist()):
                         words = common.words_of(text, plain=True)
                         for place, both in index.matches(words, ids(words)):
                             item_id, _, grams, _ = index.items[place]
@@ -118,9 +121,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, thresh
                             rows.append((item_id, len(grams), both, both / len(grams)))
                     item_id, n, both, share = zip(*rows) if rows else ((), (), (), ())
                     kinds = _arrow(item_kind)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(item_id, kinds), pa.array(n, pa.int64()), pa.array(both, pa.int64()), pa.array(share, pa.float64())], ["doc_id", "item_id", "item_shingles", "shared", "containment"])
+                    named = [b.column(c).take(pa.array(at, pa.int64())) for c in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*named, pa.array(item_id, kinds), pa.array(n, pa.int64()), pa.array(both, pa.int64()), pa.array(share, pa.float64())], [*keys, "item_id", "item_shingles", "shared", "containment"])
 
-        return docs.select("doc_id", "text").mapInArrow(common.releasing(run), schema)
+        return docs.select(*keys, "text").mapInArrow(common.releasing(run), schema)
 
     out = None
     for k in range(blocks):

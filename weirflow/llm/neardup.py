@@ -26,7 +26,7 @@ from collections import OrderedDict
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -148,8 +148,13 @@ def sketches(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
     return given.mapInArrow(common.releasing(run), "doc_id long, text_a long, text_b long, row long, n_shingles long, set_a long, set_b long, keys array<long>, registers binary")
 
 
-def text_hashes() -> list:
-    return [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit(7), "text", F.length("text")).alias("text_b")]
+def text_hashes(a: str = "text_a", b: str = "text_b") -> list:
+    return [F.xxhash64("text").alias(a), F.xxhash64(F.lit(7), "text", F.length("text")).alias(b)]
+
+
+def has_words() -> Column:
+    """Whether a text has a shingle at all."""
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, size: int, threshold: Fraction) -> DataFrame:
@@ -269,11 +274,13 @@ def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
             return labels.select("node", "component")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept of every row."""
+def linked(docs: DataFrame, size: int, threshold: Fraction, scratch: common.Scratch, hashes: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Every row with its node (null without a shingle), and (node, component) of the nodes that have links.
+
+    Rows that aren't their node's first have their text's hashes only where ``hashes`` asks for them.
+    """
     spark = docs.sparkSession
     common.arrow_rows(spark, 500)
-    scratch = common.Scratch(spark, "neardup")
     rows, bands = band_shape(float(threshold))
     made = scratch.keep(sketches(docs, size, rows, bands), "sketches")
 
@@ -281,7 +288,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     sets = scratch.keep(made.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id")), "sets")
     own = F.col("row") == F.col("node")
     full = made.where("n_shingles > 0").join(sets, ["set_a", "set_b"])
-    full = full.select("doc_id", "n_shingles", "node", "first_id", own.alias("own"), *[F.when(own, F.col(c)).alias(c) for c in ("keys", "registers", "text_a", "text_b")])
+    texts = [F.col(c) if hashes else F.when(own, F.col(c)).alias(c) for c in ("text_a", "text_b")]
+    full = full.select("doc_id", "n_shingles", "node", "first_id", own.alias("own"), *[F.when(own, F.col(c)).alias(c) for c in ("keys", "registers")], *texts)
     none = made.where("n_shingles = 0").selectExpr("doc_id", "n_shingles", "cast(null as long) node", "doc_id first_id", "false own", "cast(null as array<long>) keys", "cast(null as binary) registers", "0L text_a", "0L text_b")
     placed = scratch.keep(full.union(none), "placed")
     scratch.drop(made, sets)
@@ -338,7 +346,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     if more.limit(1).count():
         labels = components(scratch.keep(links.union(more), "links"), scratch)
     scratch.drop(mixed, top, members, held, links, more, loose, prefixes)
+    return placed, labels
+
 
+def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept of every row."""
+    scratch = common.Scratch(docs.sparkSession, "neardup")
+    placed, labels = linked(docs, size, threshold, scratch)
+    nodes = placed.where("own")
     # The smallest doc_id of every component, given to its nodes and to their rows.
     firsts = nodes.select("node", "first_id").join(labels, "node")
     least = scratch.keep(firsts.groupBy("component").agg(F.min("first_id").alias("component_id")), "least")
@@ -348,6 +363,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def first_rows(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(4, 5)) -> DataFrame:
+    """doc_id, text_a, text_b and n of one row of each component, and of each row that has words but no link.
+
+    It is the row of the smallest doc_id, a null one only where no row has an id, and among texts of one doc_id
+    that of the smallest hashes; ``n`` rows have just this doc_id and text.
+    """
+    placed, labels = linked(docs, size, threshold, common.Scratch(docs.sparkSession, "neardup"), hashes=True)
+    rows = placed.where("node is not null").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counted = rows.groupBy("component", "doc_id", "text_a", "text_b").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_a", "text_b", "n")
+    return counted.groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_a", "first.text_b", "first.n")
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "documents"), size=3, threshold=Fraction(85, 100))
 
