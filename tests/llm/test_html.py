@@ -20,6 +20,25 @@ def test_main_text(page):
     assert html.extract(page).lower() == TEXT.lower()
 
 
+LONG = "<p>I think, as a reader, that this is a comment, long, longer, longest, and so on and on and on.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='has-sidebar'>{BODY}</div></body>",
+    f"<div class='container no-sidebar'><article>{BODY}</article></div><footer>&copy; x</footer>",
+    f"<div class='site-content nav-open'><main>{BODY}</main><div class='sidebar'>{LONG}</div></div>",
+    f"<section class='page login-required'>{BODY}<div id='comments'>{LONG * 9}</div></section>",
+    f"<div class='layout-sidebar-left'><article>{BODY}</article></div><p>Imprint, of the site</p>",
+    f"<div id='page-banner'>{BODY}</div><div class='cookie-bar'>Cookies.</div>",
+    f"<article><h1></h1><div class='article-body js-social-share'>{BODY}</div><div class='share'>Share this, now</div></article>",
+    f"<main>{BODY}<div class='comments-area'><article class='comment'>{LONG * 9}</article></div></main>",
+    f"<div class='sidebar'>{BODY}</div>",
+    f"<main><div class='no-sidebar'>{BODY.split('</p>')[0]}</p></div><div class='no-sidebar'>{BODY.split('</p>')[1]}</p></div></main>",
+])
+def test_class_of_what_holds_the_text(page):
+    assert html.extract(page) == TEXT
+
+
 def test_article_parts_stay():
     page = "<article><h1>Title</h1><p>Short.</p><section><h2>Part</h2><p>Long text, with commas, and more words than before, to be sure.</p><ul><li>one<li>two</ul></section><blockquote>Quoted</blockquote><p>z</p></article>"
     assert html.extract(page).split("\n\n") == ["Title", "Short.", "Part", "Long text, with commas, and more words than before, to be sure.", "one", "two", "Quoted", "z"]

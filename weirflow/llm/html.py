@@ -1,13 +1,14 @@
 """Main-text extraction by tree scoring (operator 3).
 
 The page is parsed into a tree, without scripts, styles and other raw content.  Elements that are
-boilerplate by their name, role, class or id are cut.  Every paragraph earns points for its length and its
+boilerplate by their name or role are cut, and those that are by class or id unless they hold the page's text:
+a class may also tell of the page around it ("nav-open", "layout-sidebar").  Every paragraph earns points for its length and its
 commas and passes them to its ancestors, less with each level; an ancestor's sum is discounted by its share of
 text in links.  The best container is kept with those siblings that score well or read like paragraphs; if the
 page says that it stands in an article, the whole article is.
 
 Cases: null and empty pages give an empty text; a page without paragraphs gives what text is left after the
-cuts; broken markup is read leniently, and a tag or comment that never ends runs to the end of the
+cuts; a page whose text is all in elements cut by class or id gives that; broken markup is read leniently, and a tag or comment that never ends runs to the end of the
 page; equal rows give equal rows; null ids and urls are kept; other columns are ignored.
 """
 
@@ -38,6 +39,11 @@ def _any(words: list[str]) -> re.Pattern:
 
 
 _cut_words, _cut_in_article = _any(_words + _head_words), _any(_words)
+_names = re.compile(rf"(?:^|\s)(?:{'|'.join(_words + _head_words)})(?:$|\s)")  # a whole name, which says what the element is
+_state = re.compile(r"(?:^|(?<=\s))(?:(?:has|no|not|with|without)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled|required))(?=$|\s)")  # tells of what is around
+_prose = _any("comments? comment-?list disqus replies respond related recommended".split())  # paragraphs, but never the page's own
+#: Share of the page's (in an article, the article's) points from which an element of a whole name, or of a name in parts, stays.
+NAMED, PARTLY = 0.9, 0.5
 _cut_roles = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _token = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
 _attr = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
@@ -45,29 +51,34 @@ _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "score", "article")
+    __slots__ = ("name", "parent", "children", "cut", "score", "article", "least")
 
-    def __init__(self, name: str, parent: Node | None, cut: bool = False, article: bool = False):
-        self.name, self.parent, self.children, self.cut, self.score, self.article = name, parent, [], cut, 0.0, article
+    def __init__(self, name: str, parent: Node | None, cut: bool = False, article: bool = False, least: float | None = None):
+        self.name, self.parent, self.children, self.cut, self.score, self.article, self.least = name, parent, [], cut, 0.0, article, least
 
 
-def _is_cut(name: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if name in CUT or (name == "header" and not in_article):
-        return True
+def _is_cut(name: str, attrs: dict[str, str]) -> bool:
     if not attrs:
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _hidden.search(attrs.get("style", "").lower()) or attrs.get("role", "").lower() in _cut_roles:
-        return True
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_hidden.search(attrs.get("style", "").lower())) or attrs.get("role", "").lower() in _cut_roles
+
+
+def _least(name: str, attrs: dict[str, str], in_article: bool) -> float | None:
+    """The share of points with which an element stays that is boilerplate by class or id; None if it isn't."""
     if name in ("body", "html", "article", "main"):
-        return False
-    words = _cut_words if not in_article else _cut_in_article
-    return any(k in attrs and words.search(attrs[k].lower()) for k in ("class", "id"))
+        return None
+    words, least = _cut_words if not in_article else _cut_in_article, None
+    for k in ("class", "id"):
+        value = attrs.get(k)
+        if value and words.search(value := _state.sub("", value.lower())):
+            least = max(least or 0.0, 2.0 if _prose.search(value) else NAMED if _names.search(value) else PARTLY)
+    return least
 
 
 def parse(page: str) -> Node:
     """The page's tree; texts are strings among the children."""
     root = Node("#root", None)
-    at, here, n = 0, root, len(page)
+    at, here, n, named = 0, root, len(page), []
     while at < n:
         m = _token.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -124,13 +135,64 @@ def parse(page: str) -> Node:
             for a in _attr.finditer(attributes):
                 attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
         in_article = here.article or name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
-        node = Node(name, here, _is_cut(name, attrs, in_article), in_article)
+        cut = name in CUT or (name == "header" and not in_article) or _is_cut(name, attrs)
+        node = Node(name, here, cut, in_article, _least(name, attrs, in_article) if attrs and not cut else None)
+        if node.least is not None:
+            named.append(node)
         here.children.append(node)
         if not attributes.rstrip().endswith("/") or name not in ("path", "g"):
             here = node
+    if named:
+        _cut_named(root, named)
     return root
 
 
+def _points(text: str, linked: int) -> float:
+    points = 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3)
+    return points * (1 - min(1, linked / max(len(text), 1)))
+
+
+def _cut_named(root: Node, named: list[Node]) -> None:
+    """Cuts elements that are boilerplate by class or id, but not those that hold the text of the page or article.
+
+    An element stays if it has its ``least`` share of the points, or if it has a name in parts only and holds an
+    article; where an article stands outside of it, it needs more.  If no points would be left, all stay.
+    """
+    for node in named:
+        node.cut = node.name in INLINE
+    sums: dict[int, float] = {}  # by element: its points
+    articles: dict[int, float] = {}  # by element: the points in articles that it holds
+    for b in blocks(root):
+        points = _points(b.text(), b.linked)
+        node, inside = b.node, b.node.article
+        while node is not None:
+            sums[id(node)] = sums.get(id(node), 0.0) + points
+            if inside and not node.article:
+                articles[id(node)] = articles.get(id(node), 0.0) + points
+            node = node.parent
+    cut = []
+    for node in named:
+        own, least, scope = sums.get(id(node), 0.0), node.least, root
+        if node.article:
+            scope = node.parent
+            while scope.parent is not None and scope.name not in ("article", "main") and scope.parent.article:
+                scope = scope.parent
+        else:
+            held = articles.get(id(node), 0.0)
+            outside = articles.get(id(root), 0.0) - held
+            if least == PARTLY and held:
+                least = 0.0 if held >= outside else NAMED
+            elif least == PARTLY and outside:
+                least = NAMED
+        if node.name not in INLINE and not (own and own >= least * sums.get(id(scope), 0.0)):
+            cut.append(node)
+    for node in cut:
+        node.cut = True
+    if sums.get(id(root)) and not any(_points(b.text(), b.linked) for b in blocks(root)):
+        for node in cut:
+            node.cut = False
+
+
 class Block:
     __slots__ = ("node", "parts", "linked")
 
@@ -190,8 +252,7 @@ def extract(page: str | None) -> str:
     for k, (b, text) in enumerate(zip(found, texts)):
         held.setdefault(id(b.node), []).append(k)
         size = len(text)
-        points = 1 + text.count(",") + text.count("،") + text.count("、") + min(size / 100, 3)
-        points *= 1 - min(1, b.linked / max(size, 1))
+        points = _points(text, b.linked)
         node, level = b.node, 0
         if node.name in ("p", "li", "td", "th", "pre", "blockquote", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption") and node.parent:
             node = node.parent  # the paragraph's points go to what holds it
