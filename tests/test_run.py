@@ -188,6 +188,16 @@ def make(spark, state=None, **more):
     return s, lines, said
 
 
+def test_log_session_keeps_dead_letters(spark, tmp_path, caplog):
+    log = tmp_path / "log"
+    write_log(log, event(100, id=1), {"lsn": 115, "payload": "junk"}, event(120, id=2))
+    s, lines, _ = make(spark)
+    sessions.run(spark, s, str(log), str(tmp_path / "checkpoint"))
+    kept = spark.read.parquet(str(tmp_path / "checkpoint-dead-letters"))
+    assert [(r["lsn"], r["payload"]) for r in kept.collect()] == [(115, "junk")]
+    assert s.unreadable == 1 and s.processed == 120 and len(lines) == 2 and "1 unreadable payloads" in caplog.text
+
+
 def test_log_session(spark, tmp_path):
     log = tmp_path / "log"
     write_log(log, event(90, id=0), event(100, id=1, note="a"), event(110, "U", id=1, note=None), event(110, table="other", id=5), {"lsn": 115, "payload": "junk"}, event(120, "D", id=1), event(130, id=2), event(999, id=3))

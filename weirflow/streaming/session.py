@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -15,6 +16,8 @@ from ..operators.changelog import LogStream
 from ..plans.state import State
 from ..sources import change_log
 
+log_of_session = logging.getLogger(__name__)
+
 #: Advances of the processed position between saved states (fixed value).
 ADVANCES = 10_000
 
@@ -32,6 +35,7 @@ class LogSession:
     """Positions of a session, and what each micro-batch does to them.
 
     ``write`` gets a batch's record lines in order of position; ``emit`` gets other messages.
+    Unreadable payloads are counted in ``unreadable``, warned of, and kept below ``dead_letters``, a folder for each batch.
     """
 
     streams: Sequence[LogStream]
@@ -46,6 +50,8 @@ class LogSession:
     processed: int | None = None
     complete: int | None = None
     advances: int = 0
+    dead_letters: str | None = None
+    unreadable: int = 0
     rows: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -71,10 +77,21 @@ class LogSession:
                     self.rows[s.stream_id] = self.rows.get(s.stream_id, 0) + n
                     last = decoded.agg(F.max("_lsn")).first()[0]
                     self.state.put(s.stream_id, lsn=last)
+            self._bury(events, batch_id)
             self._advance(events)
         finally:
             events.unpersist()
 
+    def _bury(self, events: DataFrame, batch_id: int) -> None:
+        dead = changelog.unreadable(events)
+        n = dead.count()
+        if not n:
+            return
+        if self.dead_letters is not None:  # a batch that is tried again writes its folder again
+            dead.write.mode("overwrite").parquet(f"{self.dead_letters}/batch={batch_id}")
+        self.unreadable += n
+        log_of_session.warning("%d unreadable payloads in batch %d, kept in %s", n, batch_id, self.dead_letters or "no place")
+
     def _refresh_known(self, spark: SparkSession, events: DataFrame) -> None:
         known = spark.createDataFrame([(s.schema, s.table, sorted(s.known | set(s.selected))) for s in self.streams], "schema string, `table` string, names array<string>")
         new: dict[tuple[str, str], list[str]] = {}
@@ -118,6 +135,8 @@ class LogSession:
 def run(spark: SparkSession, session: LogSession, path: str, checkpoint: str, confirm_path: str | None = None, state_path: str | None = None, max_seconds: float | None = None, idle_seconds: float | None = None, continuous: bool = False) -> LogSession:
     """Consumes the log up to the session's end position (or on and on, until the time or the quiet is over)."""
     change_log.register(spark)
+    if session.dead_letters is None:
+        session.dead_letters = f"{checkpoint.rstrip('/')}-dead-letters"
     start = session.state.committed([s.stream_id for s in session.streams])
     options = {"path": path, "startLsn": str(-1 if start is None else start - 1), "streams": ",".join(s.stream_id for s in session.streams)}
     for key, value in (("endLsn", session.end_lsn), ("confirmPath", confirm_path), ("statePath", state_path)):
