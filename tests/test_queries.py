@@ -53,3 +53,12 @@ def test_contract():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and set(queries.QUERIES) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name,function", [("committed_min_lsn", "committed"), ("finalize_lsn", "final_position")])
+def test_positions_come_from_the_engine(spark, monkeypatch, name, function):
+    from weirflow import queries as core
+
+    called, real = [], getattr(core.changelog, function)
+    monkeypatch.setattr(core.changelog, function, lambda *a: called.append(1) or real(*a))
+    assert core.QUERIES[name](spark, "/root/testdata/sf0.001").count() == len(called) > 0

@@ -357,11 +357,20 @@ def fully_processed_lsn(spark, sf_dir):
     return lsn.fully_processed(change_log(spark, sf_dir))
 
 
+def _committed(positions: DataFrame) -> DataFrame:
+    """stream and committed_lsn of each stream, each a session of its own; there are few."""
+    out = None
+    for r in positions.select("stream").distinct().collect():
+        one = changelog.committed(positions.where(F.col("stream").eqNullSafe(F.lit(r["stream"])))).select(F.lit(r["stream"]).cast("string").alias("stream"), "committed_lsn")
+        out = one if out is None else out.union(one)
+    return positions.select("stream", F.col("lsn").alias("committed_lsn")).limit(0) if out is None else out
+
+
 @query(f"select event_type as stream, min({_LSN}) committed_lsn from events where event_type <> 'view' group by event_type")
 def committed_min_lsn(spark, sf_dir):
     e = _table(spark, sf_dir, "events").where("event_type <> 'view'")
     positions = e.select(F.col("event_type").alias("stream"), (F.lit(BASE) + F.expr("event_id div 3") * 1000).alias("lsn"))
-    return positions.groupBy("stream").agg(F.min("lsn").alias("committed_lsn"))
+    return _committed(positions)
 
 
 @query(f"select count(*) n, max({_LSN}) top from events where {_LSN} <= (select {BASE} + max(event_id) // 6 * 1000 from events)")
@@ -385,7 +394,8 @@ def finalize_lsn(spark, sf_dir):
     e = _table(spark, sf_dir, "events")
     positions = e.select(F.col("event_type").alias("stream"), (F.lit(BASE) + F.expr("event_id div 3") * 1000).alias("lsn"))
     complete = lsn.last_complete(change_log(spark, sf_dir)).first()["complete"]
-    return positions.groupBy("stream").agg(F.min("lsn").alias("committed")).select("stream", F.greatest(F.lit(complete), "committed").alias("lsn"))
+    rows = [(r["stream"], changelog.final_position(complete, r["committed_lsn"])) for r in _committed(positions).collect()]
+    return spark.createDataFrame(rows, "stream string, lsn long")
 
 
 @query(f"select distinct event_type as stream, unnest(['props', 'seen', 'ts', 'value']) as name from events where not ({_BROKEN}) and event_type <> 'error'")
