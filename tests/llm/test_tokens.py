@@ -51,6 +51,14 @@ def test_truncation(library):
         assert n(library, cut) <= budget and all(n(library, text[:i]) > budget for i in range(len(cut) + 1, len(text) + 1))
 
 
+@pytest.mark.parametrize("before", ["<" * 6000, "x" * 6007, " " * 5001, "\n" * 4097 + "<" * 4099, "y " * 3000 + "!?" * 2500, "", "a b", "c "])
+def test_prefixes_within_special_strings(library, before):
+    c, text = tokens.counter(tokens.VOCABULARY), before + "<|endoftext|> z<|endoftext|><|endoftext|>"
+    at = range(max(0, len(before) - 3), len(text) + 1)
+    table = c.prefixes(text)
+    assert len(table) == len(text) + 1 and [table[i] for i in at] == [n(library, text[:i]) for i in at]
+
+
 def test_operator(spark, documents, library):
     common.arrow_rows(spark, 3)
     got = tokens.count_tokens(documents).collect()

@@ -243,13 +243,18 @@ class PrefixCounter:
         """``out[i]`` is the exact token count of the first ``i`` characters."""
         out = [np.zeros(1, np.int64)]
         base = 0
+        segments, tables = [], {}
         parts = self.parts.split(text or "") if self.parts is not None else [text or ""]
         for k, p in enumerate(parts):
-            if k % 2:  # while it is cut, a special string is ordinary text after what stands before it
-                before = parts[k - 1]
-                tail = before[max(0, len(before) - 4096) :]
-                start = base - self.total(tail)
-                out.append(np.array([start + self.total(tail + p[:i]) for i in range(1, len(p))] + [base + 1]))
+            if k % 2:  # while it is cut, a special string is ordinary text that goes on the last segment before it
+                open_, after, start = segments[-1] if segments else "", [], base
+                if open_:
+                    start -= tables[open_][-1]
+                more, those = self._tables(open_ + p[:-1])
+                for s in more:
+                    after.append(start + np.array(list(those[s]), np.int64))
+                    start += those[s][-1]
+                out += [*after, np.array([base + 1])] if not open_ else [np.concatenate([*after, [base + 1]])[len(open_) :]]
                 base += 1
                 continue
             segments, tables = self._tables(p)
