@@ -59,13 +59,45 @@ def test_shards_give_all_above_the_floor(seed):
     assert sorted(zip(at.tolist(), got.tolist())) == [(k, int(s)) for k, s in enumerate(scores) if s >= floor]
 
 
+@pytest.mark.parametrize("floor", [None, -10**6, -500, 0])
+@pytest.mark.parametrize("kind", [np.int64, object])
+def test_floors_that_rule_nothing_out(floor, kind):
+    x = np.random.default_rng(2).integers(-9, 9, (300, 6)).astype(kind)
+    q = np.array([3, 0, -2, 5, -1, 0], kind)
+    at, got = search.Shard(np.arange(300), x).search(q, floor)
+    assert sorted(zip(at.tolist(), got.tolist())) == [(k, int(s)) for k, s in enumerate(x @ q) if floor is None or s >= floor]
+
+
+def test_all_rows_pass_through_postings(monkeypatch):
+    """Also where there are few, every vector is searched in a shard, and bounds leave terms out once there are k."""
+    rows, seen, cuts = 500, [], []
+    x = np.abs(np.random.default_rng(3).normal(size=(rows, 8)))
+    own = search.Shard.search
+
+    def counted(self, q, floor):
+        seen.append(len(self.ids))
+        at, scores = own(self, q, floor)
+        cuts.append(len(at) < len(self.ids))
+        return at, scores
+
+    monkeypatch.setattr(search.Shard, "search", counted)
+    monkeypatch.setattr(search, "FIRST_ROWS", 100)
+    batch = type("B", (), {"column": lambda self, k: type("C", (), {"to_pylist": lambda _: (list(range(rows)) if k == 0 else x.tolist())[self.part]})()})
+    parts = []
+    for lo in range(0, rows, 50):
+        parts.append(batch())
+        parts[-1].part = slice(lo, lo + 50)
+    list(search.search_batches(parts, np.array([0]), search.matrix([x[0].tolist()], 1024), 1024, 10))
+    assert sum(seen) == rows and any(cuts)
+
+
 def test_buffers_and_blocks_agree(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(900)]
     queries = search.matrix([v for i, v in rows if i % 100 == 0], 1024)
     ids = np.array([i for i, _ in rows if i % 100 == 0])
     monkeypatch.setattr(search, "SHARD_ROWS", 50)
-    monkeypatch.setattr(search, "SEED_ROWS", 10)
+    monkeypatch.setattr(search, "FIRST_ROWS", 10)
 
     class Batch:
         def __init__(self, part):

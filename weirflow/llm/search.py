@@ -7,7 +7,9 @@ bounds together stay below the score of the k-th best so far are non-essential:
 the essential postings can't enter.  Essential postings are traversed, the other terms are probed for the
 vectors that are still competitive, and then the penalties; the results of shards are merged.
 
-Queries go to the executors in blocks of bounded size, and each block meets all vectors.
+Queries go to the executors in blocks of bounded size, one after another, and each block meets all vectors; the
+results of a block are written before the next one is read, so that the driver holds one block.  A task's
+shards grow from FIRST_ROWS to SHARD_ROWS vectors, as there is no bound to beat before the first k scores.
 
 Cases: vectors that are null or hold a null or non-finite component take no part, nor do rows with a null
 vec_id; shorter vectors count as filled up with zeros; an empty vector scores 0; rows that have the query's
@@ -18,6 +20,7 @@ vec_id; products are exact integers, and a score beyond 64 bits is an error; oth
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +32,8 @@ from . import common
 SCALE, TOP = 1024, 10
 #: Bytes of query vectors that go to the executors at once.
 BLOCK_BYTES = 24_000_000
-#: Vectors of one shard's postings.
-SHARD_ROWS = 8192
-SEED_ROWS = 512
+#: Vectors of a task's first shard of postings, and of its largest.
+FIRST_ROWS, SHARD_ROWS = 512, 8192
 
 
 def matrix(rows: list, scale: int) -> np.ndarray:
@@ -66,21 +68,23 @@ class Shard:
                 self.postings[s, d] = (at, sign * x[at, d])
                 self.most[s, d] = max(self.postings[s, d][1], default=0)
 
-    def search(self, q: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of all vectors that score at least ``floor``, which is positive."""
+    def search(self, q: np.ndarray, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of all vectors that score at least ``floor``; without one all terms are essential."""
         own = np.flatnonzero(q)
         side = (q[own] < 0).astype(int)
         weight = abs(q[own])
         bound = weight * self.most[side, own]
         order = np.argsort(bound, kind="stable")
         total = np.cumsum(bound[order])
-        cut = int(np.searchsorted(total, floor, "left"))  # bounds before it sum to less than the floor
+        cut = 0  # terms whose bounds sum to less than the floor; they are non-essential
+        if floor is not None and floor > 0:
+            cut = int(np.searchsorted(total, floor, "left"))
         score = np.zeros(len(self.ids), self.x.dtype)
         for t in order[cut:][::-1]:
             at, impact = self.postings[side[t], own[t]]
             score[at] += weight[t] * impact
         rest = total[cut - 1] if cut else 0
-        live = np.flatnonzero(score + rest >= floor)
+        live = np.arange(len(score)) if floor is None else np.flatnonzero(score + rest >= floor)
         score = score[live]
         for t in order[:cut][::-1]:
             if not len(live):
@@ -96,8 +100,9 @@ class Shard:
                 break
             value = self.x[live, own[t]] * (1 - 2 * side[t])
             score = score + weight[t] * np.minimum(value, 0)
-            keep = score >= floor
-            live, score = live[keep], score[keep]
+            if floor is not None:
+                keep = score >= floor
+                live, score = live[keep], score[keep]
         return live, score
 
 
@@ -131,6 +136,7 @@ def _exact(x: np.ndarray, y: np.ndarray) -> bool:
 def search_batches(batches, query_ids: np.ndarray, queries: np.ndarray, scale: int, top: int):
     """Yields (query's place, its id, vec_id, score) of a task's best rows for each query."""
     best = [Best(top) for _ in query_ids]
+    rows = min(FIRST_ROWS, SHARD_ROWS)
     ids: list[int] = []
     vectors: list = []
 
@@ -140,23 +146,9 @@ def search_batches(batches, query_ids: np.ndarray, queries: np.ndarray, scale: i
         x, q = fitted(x, width), fitted(queries, width)
         if object in (x.dtype, q.dtype) or not _exact(q, x):
             x, q = x.astype(object), q.astype(object)
-        start = 0
-        if any(b.floor is None or b.floor <= 0 for b in best):
-            start = len(own) if x.dtype == object else min(SEED_ROWS, len(own))
-            for lo in range(0, len(best), 1024):
-                part = slice(lo, lo + 1024)
-                scores = q[part] @ x[:start].T if x.dtype == object else (q[part].astype(np.float64) @ x[:start].T.astype(np.float64)).astype(np.int64)
-                for b, s, i in zip(best[part], scores, query_ids[part]):
-                    other = own[:start] != i
-                    b.add(s[other], own[:start][other])
-        if start == len(own):
-            return
-        shard = Shard(own[start:], x[start:])
+        shard = Shard(own, x)
         for b, v, i in zip(best, q, query_ids):
-            if b.floor is None or b.floor <= 0:  # nothing can be ruled out yet
-                at, scores = np.arange(len(shard.ids)), shard.x @ v
-            else:
-                at, scores = shard.search(v, b.floor)
+            at, scores = shard.search(v, b.floor)
             if len(at):
                 other = shard.ids[at] != i
                 b.add(scores[other], shard.ids[at][other])
@@ -164,9 +156,9 @@ def search_batches(batches, query_ids: np.ndarray, queries: np.ndarray, scale: i
     for batch in batches:
         ids += batch.column(0).to_pylist()
         vectors += batch.column(1).to_pylist()
-        if len(ids) >= SHARD_ROWS:
+        if len(ids) >= rows:
             work()
-            ids, vectors = [], []
+            ids, vectors, rows = [], [], min(4 * rows, SHARD_ROWS)
     if ids:
         work()
     for k, (b, i) in enumerate(zip(best, query_ids)):
@@ -187,7 +179,9 @@ def top_k(vectors: DataFrame, every: int = 100, top: int = TOP, scale: int = SCA
     # Few tasks see all vectors: each gives its best k of every query.
     tasks = max(1, 2 * spark.sparkContext.defaultParallelism)
 
-    def search(rows: list) -> DataFrame:
+    def block(k: int) -> DataFrame:
+        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k)
+        rows = [tuple(r) for r in part.collect()]  # a block's bytes are bounded
         queries = matrix([r[1] for r in rows], scale)
         held = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), queries))
 
@@ -197,13 +191,15 @@ def top_k(vectors: DataFrame, every: int = 100, top: int = TOP, scale: int = SCA
             got = list(zip(*search_batches(batches, *held.value, scale, top))) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in got], ["place", "query_id", "vec_id", "score"])
 
-        return sound.coalesce(tasks).mapInArrow(run, "place long, query_id long, vec_id long, score long")
+        found = sound.coalesce(tasks).mapInArrow(run, "place long, query_id long, vec_id long, score long").withColumn("block", F.lit(k))
+        if blocks == 1:
+            return found
+        written = scratch.keep(found, f"block-{k}")
+        held.destroy()
+        return written
 
-    found = None
-    for k in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k)
-        one = search([tuple(r) for r in part.collect()]).withColumn("block", F.lit(k))  # a block's bytes are bounded
-        found = one if found is None else found.union(one)
+    scratch = common.Scratch(spark, "search")
+    found = reduce(DataFrame.union, map(block, range(blocks)))
     order = Window.partitionBy("block", "place", "query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
