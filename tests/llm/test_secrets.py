@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from weirflow.llm import secrets
+from weirflow.llm import secrets, trigrams
 
 BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 8), ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16), ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 32)]
 TEXTS = [
@@ -51,9 +51,36 @@ def test_query_columns(spark, tmp_path):
 
 def test_queries_of_rules():
     assign, access, hexes = secrets.RULES
-    assert frozenset({"tok", "oke", "ken"}) in assign.query() and access.query() == [frozenset({"AKI", "KIA"})] and hexes.query() == []
-    for rule in (assign, access):
-        assert all(any(all(g in (t.lower() if rule.any_case else t) for g in c) for c in rule.query()) for t in TEXTS if t and BASE[secrets.RULES.index(rule)][1].search(t))
+    word = lambda s, fold: trigrams.both(*[(s[k : k + 3], fold) for k in range(len(s) - 2)])
+    assert assign.query == trigrams.either(*[word(w, True) for w in ("password", "passwd", "secret", "token", "api_key", "apikey")])
+    assert access.query == word("AKIA", False) and hexes.query is True
+    for rule, (_, pattern, _) in zip(secrets.RULES, BASE):
+        assert all(trigrams.holds(rule.query, t) for t in TEXTS if t and pattern.search(t))
+
+
+def test_candidates_are_the_rows_in_the_lists(spark):
+    rules = [secrets.Rule("a", "(abc|bcd)x"), secrets.Rule("b", "(?i)abc.*DEF"), secrets.Rule("c", "|".join(f"w{k:03d}z" for k in range(60))), secrets.Rule("d", "abc"), secrets.Rule("e", ".")]
+    texts = ["abcx", "abc x", "ABC def", "abcdef", "w031z", "w031", "bcdx", "", "AbC"]
+    grams = sorted({g for r in rules for g in trigrams.grams(r.query)})
+    assert len(grams) > 2 * secrets.BITS
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    names = [f"p{k}" for k in range(-(-len(grams) // secrets.BITS))]
+    lists = df.select("text", *[c.alias(n) for c, n in zip(secrets.postings(F.col("text"), grams), names)])
+    for r in rules:
+        got = lists.select("text", secrets.candidate(r.query, grams, [F.col(n) for n in names]).alias("c")).collect()
+        assert {x["text"]: x["c"] for x in got} == {t: trigrams.holds(r.query, t) for t in texts}
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh", 5, "a", "b", 7, 2.5)], "doc_id long, text string, _rules int, `spans` string, postings_0 string, _id int, `a.b` double")
+    got = secrets.scan(df)
+    assert got.columns == ["doc_id", "text", "_rules", "postings_0", "_id", "a.b", "spans"]
+    r = got.first()
+    assert (r["_rules"], r["postings_0"], r["_id"], r["a.b"]) == (5, "b", 7, 2.5) and [tuple(s) for s in r["spans"]] == [(0, 0, 14)]
+
+
+def test_nothing_moves(spark, documents):
+    assert "Exchange" not in secrets.scan(documents)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_masks(spark):

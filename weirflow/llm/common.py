@@ -9,7 +9,7 @@ import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +88,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it another than all that are taken."""
+    used, out = {c.lower() for c in taken}, []
+    for n in names:
+        while n.lower() in used:
+            n += "_"
+        used.add(n.lower())
+        out.append(n)
+    return out
+
+
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by their whole names, also where these hold dots."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def hashed_sample(df: DataFrame, rows: int, total: int, *key: str) -> DataFrame:
     """At most ``rows`` rows, those of the smallest hash of ``key``; ``total`` is about how many there are.
 

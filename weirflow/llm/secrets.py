@@ -1,80 +1,91 @@
 """Secret scans by a trigram inverted index, in DataFrame operations only (operator 7).
 
-Each rule's literal alternatives give a Boolean query in disjunctive form: one conjunction of trigrams for
-each alternative.  The index holds the postings (trigram, doc_id) of the trigrams that the queries name;
-a conjunction's postings are intersected, a rule's conjunctions united, and the rule's regex is
-run on candidates alone.  A rule without a mandatory trigram is run on every text.
+Each rule's regex gives a Boolean query over trigrams (``trigrams.query``).  The index says of every trigram
+that the queries name which rows hold it; it is kept beside the rows, as one bit of each posting list, so that
+lists are intersected and united by bit operations where the texts are, and neither ids nor texts move.  A
+rule's regex is run on the candidates of its query; a rule without a mandatory trigram is run on every text.
 
 Positions come from the text itself: the parts between matches and the matches follow each other, so the
 running sums of their lengths are the offsets.
 
-Cases: a null text has no span; an empty table gives an empty result; equal rows give equal rows; rows of
-one doc_id share its postings, which only widens the candidates; a null doc_id is kept; other columns of the
-input are ignored by ``scan``.
+Cases: a null text has no span; an empty table gives an empty result; equal rows give equal rows, whatever
+their doc_id; a null doc_id is kept; other columns of the input are kept by ``scan``, but one named ``spans``
+gives way to the result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, trigrams
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: what its matches are, the literals one of which each match holds, the least length of a group."""
+    """A kind of secret: what its matches are, and the least length of one of its groups."""
 
     kind: str
     pattern: str
-    literals: tuple[str, ...] = ()
     group: int = 0
     least: int = 0
-    any_case: bool = False
 
-    def query(self) -> list[frozenset[str]]:
-        """Conjunctions of trigrams, in lower case if the literals match in either case."""
-        grams = [frozenset(x[k : k + 3] for k in range(len(x) - 2)) for x in self.literals]
-        return grams if grams and all(grams) else []
+    @property
+    def query(self) -> trigrams.Query:
+        return trigrams.query(self.pattern)
 
 
 # The kinds of the contract, in its order.  Hex runs are taken at their least length at once,
 # which gives the same runs, as each is as long as it can be.
 RULES = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", ("password", "passwd", "secret", "token", "api_key", "apikey"), 2, 8, True),
-    Rule("access", r"AKIA[A-Z0-9]+", ("AKIA",), 0, 16),
+    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
 MASK = "[REDACTED]"
 
 
-def trigrams(rules: tuple[Rule, ...]) -> list[tuple[str, bool]]:
-    """The trigrams that the queries name, each with whether case counts."""
-    return sorted({(g, r.any_case) for r in rules for c in r.query() for g in c})
+#: Posting lists whose bits share a column.
+BITS = 60
 
 
-def postings(docs: DataFrame, grams: list[tuple[str, bool]]) -> DataFrame:
-    """The inverted index: (gram, doc_id), where gram is the trigram's place in ``grams``."""
-    lower = common.ascii_lower(F.col("text"))
-    if not grams:
-        return docs.select(F.lit(0).alias("gram"), "doc_id").where("false")
-    has = F.array(*[F.when((F.col("low") if any_case else F.col("text")).contains(g), F.lit(k)) for k, (g, any_case) in enumerate(grams)])
-    listed = docs.select("doc_id", "text", lower.alias("low")).select("doc_id", F.array_compact(has).alias("grams"))
-    return listed.select(F.explode("grams").alias("gram"), "doc_id")
+def postings(text: Column, grams: list[tuple[str, bool]]) -> list[Column]:
+    """A row's entries in the posting lists of the grams, as bits of long columns."""
+    low = F.lower(text)
+    out = []
+    for at in range(0, len(grams), BITS):
+        bits = [F.when((low if fold else text).contains(g), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, (g, fold) in enumerate(grams[at : at + BITS])]
+        out.append(reduce(Column.bitwiseOR, bits))
+    return out
 
 
-def candidates(index: DataFrame, grams: list[tuple[str, bool]], rules: tuple[Rule, ...]) -> DataFrame:
-    """(doc_id, rules): the places of the rules of which some conjunction has all its postings."""
-    spark = index.sparkSession
-    place = {g: k for k, g in enumerate(grams)}
-    clauses = [(c, r, place[(g, rule.any_case)], len(grams_)) for r, rule in enumerate(rules) for c, grams_ in enumerate(rule.query()) for g in grams_]
-    if not clauses:
-        return index.select("doc_id", F.array(F.lit(0)).alias("rules")).where("false")
-    named = F.broadcast(spark.createDataFrame(clauses, "clause int, rule int, gram int, size int"))  # the rules' own trigrams
-    met = index.distinct().join(named, "gram").groupBy("doc_id", "rule", "clause", "size").agg(F.count("*").alias("n"))
-    return met.where("n = size").groupBy("doc_id").agg(F.collect_set("rule").alias("rules"))
+def candidate(query: trigrams.Query, grams: list[tuple[str, bool]], lists: list[Column]) -> Column:
+    """Whether a row is in the lists that the query asks for."""
+    place = {g: divmod(k, BITS) for k, g in enumerate(grams)}
+
+    def masks(some) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for g in some:
+            word, bit = place[g]
+            out[word] = out.get(word, 0) | 1 << bit
+        return out
+
+    def met(q: trigrams.Query) -> Column:
+        if q is True:
+            return F.lit(True)
+        kind, parts = q if isinstance(q[1], tuple) else ("and", (q,))
+        own = [p for p in parts if not isinstance(p[1], tuple)]
+        if kind == "and":
+            tests = [lists[w].bitwiseAND(F.lit(m)) == m for w, m in masks(own).items()]
+        else:
+            tests = [lists[w].bitwiseAND(F.lit(m)) != 0 for w, m in masks(own).items()]
+        tests += [met(p) for p in parts if isinstance(p[1], tuple)]
+        return reduce(Column.__and__ if kind == "and" else Column.__or__, tests)
+
+    return met(query)
 
 
 def _spans(rule: Rule, text: Column, runs: Column) -> Column:
@@ -107,15 +118,15 @@ def _count(kind: int) -> Column:
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The input with ``spans``: an array of (start, kind's place, end) in order, of each whole text."""
-    grams = trigrams(rules)
-    named = candidates(postings(docs.where("text is not null"), grams), grams, rules).withColumnRenamed("doc_id", "_id").withColumnRenamed("rules", "_rules")
-    joined = docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]), "left")
+    queries = [r.query for r in rules]
+    grams = sorted({g for q in queries for g in trigrams.grams(q)})
+    kept = [c for c in docs.columns if c != "spans"]
+    names = common.fresh(kept, *[f"postings_{k}" for k in range(-(-len(grams) // BITS))])
     text = F.coalesce(F.col("text"), F.lit(""))
-    kinds = []
-    for k, rule in enumerate(rules):
-        runs = F.coalesce(F.array_contains("_rules", k), F.lit(False)) if rule.query() else F.lit(True)
-        kinds.append(_of_kind(_spans(rule, text, runs), k))
-    return joined.select(*[docs[c] for c in docs.columns if c != "spans"], F.array_sort(F.concat(*kinds)).alias("spans"))
+    indexed = docs.select(*common.quoted(kept), *[p.alias(n) for p, n in zip(postings(text, grams), names)])
+    lists = [F.col(n) for n in names]
+    kinds = [_of_kind(_spans(rule, text, candidate(query, grams, lists)), k) for k, (rule, query) in enumerate(zip(rules, queries))]
+    return indexed.select(*common.quoted(kept), F.array_sort(F.concat(*kinds)).alias("spans"))
 
 
 def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
