@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations_with_replacement
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +50,30 @@ def test_plans_hold_every_piece_once(histogram):
             seen.add((length, rank))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 3), min_size=1, max_size=12), st.randoms())
+def test_sums_are_found_while_counts_fall(histogram, rng):
+    counts = np.zeros(41, np.int64)
+    for k, n in histogram.items():
+        counts[k] = n
+    index, left = packing.SumIndex(counts), Counter(histogram)
+
+    def ways(size, total, held):
+        lengths, rest = sorted(left, reverse=True), left - Counter(held)
+        return [c for c in combinations_with_replacement(lengths, size) if sum(c) == total and not Counter(c) - rest]
+
+    while left:
+        held = (rng.choice(sorted(left)),)
+        for total in range(1, 41):
+            for size, find in enumerate((index.single, index.pair, index.triple), 1):
+                every, got = ways(size, total, held), find(total, held)
+                assert (got is None) == (not every) and (got is None or tuple(sorted(got, reverse=True)) in every)
+        pairs = Counter(sum(c) for c in combinations_with_replacement(sorted(left), 2))
+        assert all(index.pairs_left[t] == pairs.get(t, 0) for t in range(41))
+        index.take(held, 1)
+        left -= Counter(held)
+
+
 def test_exact_complements_come_first():
     assert packing.plan({40: 2, 24: 2}, 64) == [(((40, 1), (24, 1)), 2)]
     assert packing.plan({40: 1, 14: 1, 10: 1}, 64) == [(((40, 1), (14, 1), (10, 1)), 1)]

@@ -37,47 +37,76 @@ Pattern = tuple[tuple[int, int], ...]  # (length, copies) in order of place
 
 
 class SumIndex:
-    """Looks up available lengths by the sum of one, two or three of them."""
+    """Finds available lengths by the sum of one, two or three of them.
 
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts
-
-    def _have(self, parts: tuple[int, ...]) -> int:
-        """How often the combination is available at once."""
-        return min(int(self.counts[p]) // parts.count(p) for p in set(parts))
-
-    def single(self, total: int) -> tuple[int, ...] | None:
-        return (total,) if self.counts[total] else None
+    The sum is the key: a table holds, sum by sum, all pairs of lengths that occur (the longest first part
+    first), and one all triples, each as its longest part and the sum of the pair beside it.  ``counts`` says how
+    many pieces of a length are left and falls as combinations are consumed; ``pairs_left`` says how many pairs of a
+    sum have both lengths left.  Counts never rise, so an entry whose length has run out is never met again.
+    """
 
-    def pair(self, total: int, most: int | None = None) -> tuple[int, ...] | None:
-        """The available pair of this sum with the longest first part."""
-        if total < 2:
+    def __init__(self, counts: np.ndarray):
+        self.counts, size = counts.copy(), len(counts)
+        lengths = np.flatnonzero(counts)[::-1]
+        first, second = (x.ravel() for x in np.meshgrid(lengths, lengths, indexing="ij"))
+        fits = (first >= second) & (first + second < size)
+        self.pairs, self.pair_at = self._table(first[fits], second[fits], first[fits] + second[fits], size)
+        sums = np.flatnonzero(np.diff(self.pair_at))
+        lead, rest = (x.ravel() for x in np.meshgrid(lengths, sums, indexing="ij"))
+        fits = (lead + rest < size) & (2 * lead >= rest)
+        self.triples, self.triple_at = self._table(lead[fits], rest[fits], lead[fits] + rest[fits], size)
+        self.pairs_left = np.diff(self.pair_at)
+
+    @staticmethod
+    def _table(a: np.ndarray, b: np.ndarray, total: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries (a, b) by their sum, and where those of each sum begin."""
+        order = np.lexsort((-a, total))
+        return np.stack([a[order], b[order]]).astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(total, minlength=size))])
+
+    def take(self, parts: tuple[int, ...], n: int) -> None:
+        """Consumes a combination ``n`` times; the pairs of a length that runs out go with it."""
+        for p in parts:
+            self.counts[p] -= n
+        for p in {p for p in parts if not self.counts[p]}:
+            other = np.flatnonzero(self.counts[: max(len(self.counts) - p, 0)])
+            self.pairs_left[other + p] -= 1
+            if 2 * p < len(self.counts):
+                self.pairs_left[2 * p] -= 1
+
+    def have(self, parts: tuple[int, ...]) -> int:
+        """How often the combination is left at once."""
+        return min(int(self.counts[p]) // parts.count(p) for p in parts)
+
+    def single(self, total: int, held: tuple[int, ...] = ()) -> tuple[int, ...] | None:
+        return (total,) if self.have((total, *held)) else None
+
+    def pair(self, total: int, held: tuple[int, ...] = (), most: int | None = None) -> tuple[int, ...] | None:
+        """The pair of this sum with the longest first part that is left beside what is held."""
+        if not self.pairs_left[total]:
             return None
-        half = (total + 1) // 2
-        a = np.arange(min(total - 1, most or total), half - 1, -1)
-        ok = np.flatnonzero((self.counts[a] > 0) & (self.counts[total - a] > 0) & ((a != total - a) | (self.counts[a] > 1)))
-        return (int(a[ok[0]]), int(total - a[ok[0]])) if len(ok) else None
-
-    def triple(self, total: int) -> tuple[int, ...] | None:
-        for a in np.flatnonzero(self.counts[: max(total - 1, 0)])[::-1]:
-            a = int(a)
-            if 3 * a < total:
-                break
-            self.counts[a] -= 1
-            rest = self.pair(total - a, a)
-            self.counts[a] += 1
-            if rest:
-                return (a, *rest)
+        a, b = self.pairs[:, self.pair_at[total] : self.pair_at[total + 1]]
+        left = (self.counts[a] > 0) & (self.counts[b] > 0)
+        if most is not None:
+            left &= a <= most
+        for k in np.flatnonzero(left):
+            parts = (int(a[k]), int(b[k]))
+            if self.have((*held, *parts)):
+                return parts
+        return None
+
+    def triple(self, total: int, held: tuple[int, ...] = ()) -> tuple[int, ...] | None:
+        lead, rest = self.triples[:, self.triple_at[total] : self.triple_at[total + 1]]
+        for k in np.flatnonzero((self.counts[lead] > 0) & (self.pairs_left[rest] > 0)):
+            first = int(lead[k])
+            if pair := self.pair(int(rest[k]), (first, *held), first):
+                return (first, *pair)
         return None
 
-    def complement(self, length: int, gap: int):
+    def complement(self, length: int, gap: int) -> tuple[tuple[int, ...] | None, int]:
         """The first combination that fills the gap beside a piece of this length, and how often it does."""
         for find in (self.single, self.pair, self.triple):
-            self.counts[length] -= 1
-            parts = find(gap)
-            self.counts[length] += 1
-            if parts and (n := self._have((length, *parts))):
-                return parts, n
+            if parts := find(gap, (length,)):
+                return parts, self.have((length, *parts))
         return None, 0
 
 
@@ -93,20 +122,19 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Patt
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] += n
-    index, out = SumIndex(counts), []
+    out = []
     if counts[capacity]:
         out.append((((capacity, 1),), int(counts[capacity])))
         counts[capacity] = 0
-    residual: dict[int, int] = {}
+    index, residual = SumIndex(counts), {}
     for length in range(capacity - 1, 0, -1):
-        while counts[length]:
+        while left := int(index.counts[length]):
             parts, n = index.complement(length, capacity - length)
             if not parts:
-                residual[length] = int(counts[length])
-                counts[length] = 0
+                residual[length] = left
+                index.take((length,), left)
                 break
-            for p in (length, *parts):
-                counts[p] -= n
+            index.take((length, *parts), n)
             out.append((_grouped((length, *parts)), n))
     return out + best_fit(residual, capacity)
 
@@ -302,7 +330,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     table = spark.createDataFrame(rows or [(0, 0, 0, 1, 0, 0)], "length long, low long, high long, copies long, first long, base long")
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = made.join(offsets, ["length", "task"]).withColumn("rank", F.col("before") + F.col("local_rank"))
+    # Tasks times lengths: that grows with the corpus, so it is met by a shuffle of the pieces' few numbers.
+    ranked = made.join(offsets.hint("merge"), ["length", "task"]).withColumn("rank", F.col("before") + F.col("local_rank"))
     # The slots number at most a small multiple of the capacity, whatever the corpus.
     placed = ranked.join(F.broadcast(table), "length").where("rank >= low and rank < high")
     return placed.select(
