@@ -50,19 +50,40 @@ def _double(net, x, d, trace):
     return np.array(out)
 
 
-def test_scoring_is_the_trained_network():
-    rng = np.random.default_rng(1)
-    net = langid.Network(["x", "y", "z"])
-    x = rng.integers(0, 256, (20, 7)).astype(np.uint8)
-    logits = net.states(x, "f") @ net.p["Of"] + net.states(x[::-1], "b")[::-1] @ net.p["Ob"] + net.p["c"]
-    expected = np.exp(logits) / np.exp(logits).sum(axis=-1, keepdims=True)
-    assert np.allclose(net.probs(x).transpose(0, 2, 1), expected, atol=1e-5)
+@pytest.mark.parametrize("positions, lookup", [(10**6, 4096), (10**6, 1), (50, 20), (1, 7)])
+def test_scoring_reads_whole_texts(positions, lookup, monkeypatch):
+    """Side by side or alone, in one span or many, a text's result is that of the trained network over all its bytes."""
+    monkeypatch.setattr(langid, "POSITIONS", positions)
+    monkeypatch.setattr(langid, "LOOKUP", lookup)
+    net, rng = langid.Network(["x", "y", "z"]), random.Random(1)
+    texts = [None, "", *["".join(rng.choice("abé 中.z") for _ in range(n)) for n in (1, 40, 7, 7, 300, 1, 96, 97)]]
+    got = net.documents(texts)
+    assert not got[:2].any()
+    for text, p in zip(texts[2:], got[2:]):
+        x = np.frombuffer(text.encode(), np.uint8)[:, None]
+        logits = net.states(x, "f") @ net.p["Of"] + net.states(x[::-1], "b")[::-1] @ net.p["Ob"] + net.p["c"]
+        expected = np.exp(logits) / np.exp(logits).sum(axis=-1, keepdims=True)
+        assert np.allclose(p, expected.mean(axis=(0, 1)), atol=1e-5)
+
+
+def test_stretches_cover_whole_texts():
+    net, seen = langid.Network(["x", "y"]), set()
+    texts = [b"0123456789abc", b"de"]
+
+    def gradients(x, y, weight):
+        for column, k, w in zip(x.T, y, weight.T):
+            seen.add((bytes(column[: int((w > 0).sum())]), int(k)))
+        return 0.0, {k: np.zeros_like(v) for k, v in net.p.items()}
+
+    net.gradients = gradients
+    net.train(texts, np.array([0, 1]), stretch=5, steps=40, batch=4)
+    assert seen == {(b"01234", 0), (b"56789", 0), (b"abc", 0), (b"de", 1)}
 
 
 def test_language_is_learned_and_pooled():
     rng = random.Random(1)
     rows = [(text(rng, lang, 30), lang) for lang in SYLLABLES for _ in range(60)]
-    net = langid.fit(rows, steps=80)
+    net = langid.fit(rows, steps=80, stretch=48)
     held = [(text(rng, lang, n), lang) for lang in SYLLABLES for n in (2, 10, 400) for _ in range(10)]
     prob = net.documents([t for t, _ in held])
     assert np.mean([net.classes[k] == lang for k, (_, lang) in zip(prob.argmax(axis=1), held)]) > 0.95
@@ -73,10 +94,12 @@ def test_language_is_learned_and_pooled():
 
 def test_language_operator(spark, documents, no_documents):
     rng = random.Random(2)
-    rows = [(k, text(rng, lang, 20), lang) for k, lang in enumerate(list(SYLLABLES) * 40)] + [(900, text(rng, "aa", 20), None), (901, None, "aa"), (902, "12 34 !", "bb"), (None, text(rng, "bb", 9), "bb")]
+    rows = [(k, text(rng, lang, 20), lang) for k, lang in enumerate(list(SYLLABLES) * 40)] + [(900, text(rng, "aa", 20), None), (901, None, "aa"), (902, "12 34 ½ ² ① !", "bb"), (None, text(rng, "bb", 9), "bb")]
     df = spark.createDataFrame([(*r, 0.1) for r in rows], "doc_id long, text string, lang string, score double")
     kept = langid.sample(df)
-    assert len(kept) == sum(1 for i, t, lang in rows if lang and t and zlib.crc32(("" if i is None else str(i)).encode()) % 4 != 2)
+    assert sorted(kept) == sorted({(t, lang) for i, t, lang in rows if lang and t and zlib.crc32(("" if i is None else str(i)).encode()) % 4 != 2})
+    few = langid.sample(df.union(df).union(spark.createDataFrame([(i, "rare words", "cc", 0.0) for i in range(8)], df.schema)), rows=5)
+    assert {lang: sum(x == lang for _, x in few) for lang in ("aa", "bb", "cc")} == {"aa": 5, "bb": 5, "cc": 1} and len(set(few)) == 11
     common.arrow_rows(spark, 16)
     got = {r["doc_id"]: r for r in langid.predict(df, langid.fit(kept, steps=60)).collect()}
     assert got[901]["lang_pred"] == got[902]["lang_pred"] == "und" and got[900]["lang_pred"] == "aa"

@@ -139,19 +139,24 @@ def releasing(kernel: Callable[[Iterator], Iterator]) -> Callable[[Iterator], It
     return run
 
 
-def gathered(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[pa.Array, list[str | None]]]:
-    """The first two columns, ids and texts, of as many batches as have about ``block`` characters together."""
-    ids, texts, size = [], [], 0
+def gathered(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple]:
+    """The columns of as many batches as have about ``block`` characters together, the last one, texts, as a list."""
+    held, texts, size = [], [], 0
+
+    def out() -> tuple:
+        return (*[pa.concat_arrays(c) for c in zip(*held)], texts)
+
     for b in batches:
-        new = b.column(1).to_pylist()
-        ids.append(b.column(0))
+        *rest, new = b.columns
+        new = new.to_pylist()
+        held.append(rest)
         texts += new
         size += sum(len(t) for t in new if t)
         if size >= block:
-            yield pa.concat_arrays(ids), texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield pa.concat_arrays(ids), texts
+            yield out()
+            held, texts, size = [], [], 0
+    if held:
+        yield out()
 
 
 # --- word shingles -------------------------------------------------------------------------------

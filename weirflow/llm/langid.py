@@ -1,30 +1,39 @@
 """Language identification by a bidirectional gated recurrent network over bytes (operator 9).
 
-The network reads a text's bytes in both directions, gives each position a distribution over the languages,
-and a document's distribution is the mean over all its positions.  It is trained in numpy by
-backpropagation through time on a bounded sample of labelled rows (``SAMPLE`` rows, one window of
-``WINDOW`` characters at a hashed place of each).  Scoring runs over every byte of every text, in stretches
-of ``STRETCH`` bytes that start from a fresh state.
-
-Cases: a text that is null or has no letter is ``und`` with score 0; rows without lang, and rows of the
-held-out quarter, are never learned from; with nothing to learn from every text is ``und``; equal rows give
-equal rows; a null doc_id falls into the bucket of the empty text; other columns are ignored.
+The network reads a text's bytes in both directions from end to end, gives each position a distribution over the
+languages, and a document's distribution is the mean over all its positions.  It is trained in numpy by
+backpropagation through time on a bounded sample of labelled rows (``SAMPLE`` of each language, by a hash of the
+text, each text once): batches of stretches of TRAIN_BYTES bytes are drawn from all of their whole texts.
+
+Texts are read side by side, longest first, so that a step goes on with those that are not at their end.  Positions
+are worked on in spans of about POSITIONS: the states at the spans' borders are kept on the way forth, and the way
+back goes from span to span, so that memory is bounded for texts of any length.
+
+Cases: a text that is null or has no letter (Unicode category L) is ``und`` with score 0; rows without lang, and
+rows of the held-out quarter, are never learned from; with nothing to learn from every text is ``und``; equal rows
+give equal rows; a null doc_id falls into the bucket of the empty text; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
+from itertools import pairwise
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common
 
-SAMPLE, WINDOW = 2000, 192
-HIDDEN, TRAIN_BYTES, STRETCH = 8, 48, 160
-STEPS, BATCH, RATE = 260, 256, 0.02
-_letter = re.compile(r"[^\W\d_]")
+SAMPLE = 400
+HIDDEN, TRAIN_BYTES = 8, 96
+STEPS, BATCH, RATE = 200, 160, 0.02
+#: Positions whose distributions are held at once, and characters of texts that are read side by side.
+POSITIONS = BLOCK = 12_000_000
+#: Positions whose inputs are looked up at once, where few texts are left.
+LOOKUP = 8192
+_letter = regex.compile(r"\p{L}")
 
 
 class Network:
@@ -64,43 +73,106 @@ class Network:
             out[t] = s
         return out
 
-    def _fast_states(self, x: np.ndarray, d: str) -> np.ndarray:
-        """As ``states``, for scoring: (T, H, B), with the batch innermost so that each step is a few long loops."""
-        h, n = self.h, x.shape[1]
-        W, U = (np.ascontiguousarray(self.p[k + d].T) for k in "WU")
+    def _walk(self, d: str, x: np.ndarray, widths: np.ndarray, state: np.ndarray, out: np.ndarray | None) -> np.ndarray:
+        """As ``states``, for scoring, over one span of the texts side by side; returns the state after it.
+
+        ``widths[t]`` texts are read at step t, their bytes follow each other in ``x``; backwards the last step comes
+        first and texts set in at their end.  ``state`` is (H, texts).  What the states add to the classes is
+        added to ``out`` (C, positions).  The batch is innermost, so that a step is a few long loops.
+        """
+        h = self.h
+        W, U, O = (np.ascontiguousarray(self.p[k + d].T) for k in "WUO")
         W[: 2 * h] *= 0.5  # the logistic function is a tanh of half its argument
         U[: 2 * h] *= 0.5
-        s, out = np.zeros((h, n), np.float32), np.empty((len(x), h, n), np.float32)
-        a, r = np.empty((3 * h, n), np.float32), np.empty((3 * h, n), np.float32)
-        gates, z, reset, new, rest = a[: 2 * h], a[:h], a[h : 2 * h], a[2 * h :], r[2 * h :]
-        for t in range(len(x)):
-            np.take(W, x[t], axis=1, out=a, mode="clip")
-            np.matmul(U, s, out=r)
-            gates += r[: 2 * h]
-            np.tanh(gates, out=gates)
-            gates += 1
-            gates *= 0.5
-            rest *= reset
-            new += rest
-            np.tanh(new, out=new)
-            s -= new
-            s *= z
-            s += new
-            out[t] = s
-        return out
+        n, steps = state.shape[1], len(widths)
+        ends = np.cumsum(widths)
+        s, r = np.array(state, order="C"), np.empty((3 * h, n), np.float32)
+        tanh, add, multiply, matmul = np.tanh, np.add, np.multiply, np.matmul
+        t = 0
+        while t < steps:
+            k = t  # the steps t to k are looked up at once
+            if d == "f":
+                start = ends[t] - widths[t]
+                k = max(int(np.searchsorted(ends, start + LOOKUP, "right")), t + 1)
+                low, high, order = start, ends[k - 1], range(t, k)
+            else:
+                end = ends[steps - 1 - t]
+                k = max(t + int(steps - t - np.searchsorted(ends[: steps - t] - widths[: steps - t], end - LOOKUP, "left")), t + 1)
+                low, high, order = ends[steps - k] - widths[steps - k], end, range(steps - 1 - t, steps - 1 - k, -1)
+            inputs, kept = W[:, x[low:high]], np.empty((h, high - low), np.float32)
+            for step in order:
+                m, at = widths[step], ends[step] - low
+                if m != n:
+                    s = np.ascontiguousarray(s[:, :m]) if m < n else np.concatenate([s, np.zeros((h, m - n), np.float32)], axis=1)
+                    r, n = np.empty((3 * h, m), np.float32), m
+                a = inputs[:, at - m : at]
+                gates, reset, new, rest = a[: 2 * h], a[h : 2 * h], a[2 * h :], r[2 * h :]
+                matmul(U, s, out=r)
+                add(gates, r[: 2 * h], out=gates)
+                tanh(gates, out=gates)
+                add(gates, 1, out=gates)
+                multiply(gates, 0.5, out=gates)
+                multiply(rest, reset, out=rest)
+                add(new, rest, out=new)
+                tanh(new, out=new)
+                s -= new
+                s *= a[:h]
+                s += new
+                kept[:, at - m : at] = s
+            if out is not None:
+                out[:, low:high] += matmul(O, kept)
+            t = k
+        return s
 
-    def probs(self, x: np.ndarray) -> np.ndarray:
-        """Distributions (T, C, B) at every position of x (T, B)."""
-        out = np.matmul(self.p["Of"].T, self._fast_states(x, "f"))
-        out += np.matmul(self.p["Ob"].T, self._fast_states(x[::-1], "b")[::-1])
-        out += self.p["c"][:, None]
-        out -= out.max(axis=1, keepdims=True)
-        np.exp(out, out=out)
-        out /= out.sum(axis=1, keepdims=True)
-        return out
+    def documents(self, texts: list[str | None]) -> np.ndarray:
+        """Mean distribution over the positions of each text; zeros for an empty one."""
+        data = [np.frombuffer((t or "").encode(), np.uint8) for t in texts]
+        order = sorted((k for k in range(len(data)) if len(data[k])), key=lambda k: -len(data[k]))
+        pooled = np.zeros((len(texts), len(self.classes)))
+        if not order:
+            return pooled
+        lengths = np.array([len(data[k]) for k in order])
+        widths = np.searchsorted(-lengths, -np.arange(lengths[0]))  # texts that are longer than t
+        ends = np.cumsum(widths)
+        # spans of steps of about POSITIONS positions
+        borders = [0]
+        while borders[-1] < len(widths):
+            before = ends[borders[-1] - 1] if borders[-1] else 0
+            borders.append(max(int(np.searchsorted(ends, before + POSITIONS, "right")), borders[-1] + 1))
+        spans = list(pairwise(borders))
+
+        def read(a: int, b: int) -> np.ndarray:
+            start = ends[a] - widths[a]
+            x = np.empty(ends[b - 1] - start, np.uint8)
+            places = ends[a:b] - widths[a:b] - start
+            for r, k in enumerate(order[: widths[a]]):
+                part = data[k][a:b]
+                x[places[: len(part)] + r] = part
+            return x
+
+        state = np.zeros((self.h, len(order)), np.float32)
+        states = [state]
+        for a, b in spans[:-1]:
+            state = self._walk("f", read(a, b), widths[a:b], state, None)
+            states.append(state)
+        back, sums = np.zeros((self.h, 0), np.float32), np.zeros((len(self.classes), len(order)))
+        for (a, b), state in zip(reversed(spans), reversed(states)):
+            x = read(a, b)
+            prob = np.zeros((len(self.classes), len(x)), np.float32)
+            prob += self.p["c"][:, None]
+            self._walk("f", x, widths[a:b], state[:, : widths[a]], prob)
+            back = self._walk("b", x, widths[a:b], back, prob)
+            prob -= prob.max(axis=0)
+            np.exp(prob, out=prob)
+            prob /= prob.sum(axis=0)
+            place = np.arange(len(x)) - np.repeat(ends[a:b] - widths[a:b] - (ends[a] - widths[a]), widths[a:b])
+            for c, p in enumerate(prob):
+                sums[c] += np.bincount(place, weights=p, minlength=len(order))
+        pooled[order] = (sums / lengths).T
+        return pooled
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Loss and gradients, by backpropagation through time; y and weight are by sequence."""
+        """Loss and gradients, by backpropagation through time; y is by sequence, weight by sequence or position."""
         h, (length, n) = self.h, x.shape
         traces: dict[str, list] = {"f": [], "b": []}
         reading = {"f": x, "b": x[::-1]}
@@ -109,10 +181,11 @@ class Network:
         logits -= logits.max(axis=-1, keepdims=True)
         prob = np.exp(logits)
         prob /= prob.sum(axis=-1, keepdims=True)
-        w = (weight / (weight.sum() * length)).astype(np.float32)
+        w = np.broadcast_to(weight, x.shape)
+        w = (w / w.sum()).astype(np.float32)
         loss = float(-(np.log(prob[:, np.arange(n), y] + 1e-9) * w).sum())
         prob[:, np.arange(n), y] -= 1
-        delta = prob * w[None, :, None]
+        delta = prob * w[:, :, None]
         g = {"c": delta.sum(axis=(0, 1))}
         for d in "fb":
             out = delta if d == "f" else delta[::-1]
@@ -132,16 +205,24 @@ class Network:
             g["W" + d], g["U" + d] = gW, gU
         return loss, g
 
-    def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 5) -> float:
-        """Adam over random batches of sequences x (N, T); classes count alike. Returns the last loss."""
+    def train(self, texts: list[bytes], y: np.ndarray, stretch: int = TRAIN_BYTES, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 5) -> float:
+        """Adam over random batches of stretches of all texts; classes count alike. Returns the last loss."""
         rng, loss = np.random.default_rng(seed), 0.0
+        lengths = np.array([len(t) for t in texts])
+        pieces = -(-lengths // stretch)
+        owner = np.repeat(np.arange(len(texts)), pieces)
+        at = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * stretch
+        size = np.minimum(lengths[owner] - at, stretch)
+        at += np.repeat(np.cumsum(lengths) - lengths, pieces)
+        data = np.frombuffer(b"".join(texts) + bytes(stretch), np.uint8)
+        y, within = y[owner], np.arange(stretch)[:, None]
         share = np.bincount(y, minlength=len(self.classes)).astype(float)
         weight = (1 / np.maximum(share, 1))[y]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         for step in range(1, steps + 1):
-            pick = rng.integers(0, len(x), min(batch, len(x)))
-            loss, g = self.gradients(x[pick].T, y[pick], weight[pick])
+            pick = rng.integers(0, len(owner), min(batch, len(owner)))
+            loss, g = self.gradients(data[at[pick] + within], y[pick], weight[pick] * (within < size[pick]))
             scale = rate * min(1.0, 2 * (1 - step / (steps + 1)))
             for k, p in self.p.items():
                 gk = np.clip(g[k], -1, 1)
@@ -150,60 +231,25 @@ class Network:
                 p -= (scale * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
         return loss
 
-    def documents(self, texts: list[str | None]) -> np.ndarray:
-        """Mean distribution over the positions of each text; zeros for an empty one."""
-        pooled = np.zeros((len(texts), len(self.classes)))
-        owner, parts = [], []
-        for k, t in enumerate(texts):
-            data = np.frombuffer((t or "").encode(), np.uint8)
-            for at in range(0, len(data), STRETCH):
-                owner.append(k)
-                parts.append(data[at : at + STRETCH])
-        full = [k for k, p in enumerate(parts) if len(p) == STRETCH]
-        rest: dict[int, list[int]] = {}
-        for k, p in enumerate(parts):
-            if len(p) < STRETCH:
-                rest.setdefault(-(-len(p) // 16) * 16, []).append(k)
-        for width, those in [(STRETCH, full), *rest.items()]:
-            for lo in range(0, len(those), 2048):
-                some = those[lo : lo + 2048]
-                self._pool(pooled, width, [parts[k] for k in some], np.array([owner[k] for k in some]))
-        total = pooled.sum(axis=1, keepdims=True)
-        return pooled / np.where(total > 0, total, 1)
-
-    def _pool(self, pooled: np.ndarray, width: int, parts: list[np.ndarray], owner: np.ndarray) -> None:
-        x = np.full((len(parts), width), 32, np.uint8)  # spaces fill up the end and aren't pooled
-        for k, p in enumerate(parts):
-            x[k, : len(p)] = p
-        lengths = np.array([len(p) for p in parts])
-        prob = self.probs(np.ascontiguousarray(x.T))
-        if (lengths < width).any():
-            prob *= (np.arange(width)[:, None] < lengths)[:, None, :]
-        np.add.at(pooled, owner, prob.sum(axis=0).T)
-
-
-def sample(docs: DataFrame, rows: int = SAMPLE, window: int = WINDOW) -> list[tuple[str, str]]:
-    """(window, lang) of a bounded sample of rows outside the held-out quarter, by a hash of the row."""
-    learn = docs.where("lang is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
-    total = learn.select("lang").count()
-    at = F.lit(1) + F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - window, F.lit(1)))
-    picked = learn.where("text is not null").select("doc_id", F.substring(F.col("text"), at.cast("int"), F.lit(window)).alias("part"), "lang")
-    return [(r["part"], r["lang"]) for r in common.hashed_sample(picked, rows, total, "doc_id", "part", "lang").collect()]
+
+def sample(docs: DataFrame, rows: int = SAMPLE) -> list[tuple[str, str]]:
+    """(text, lang) of at most ``rows`` texts of each language, outside the held-out quarter, by a hash of the text."""
+    learn = docs.where("lang is not null and text is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
+    learn = learn.select("text", "lang", F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("_hash"))
+    # Texts far above the cut are left out before any text moves.
+    share = learn.groupBy(F.col("lang").alias("_lang")).agg((F.lit(3.0 * rows * (1 << 40)) / F.approx_count_distinct("_hash")).alias("_cut"))
+    few = learn.join(share, F.col("lang") == F.col("_lang")).where("_hash < _cut").dropDuplicates(["lang", "text"])
+    order = Window.partitionBy("lang").orderBy("_hash", "text")
+    few = few.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows)
+    return [(r["text"], r["lang"]) for r in few.orderBy("lang", "_rank").select("text", "lang").collect()]
 
 
 def fit(rows: list[tuple[str, str]], **settings) -> Network | None:
-    x, y, classes = [], [], sorted({lang for part, lang in rows if _letter.search(part)})
-    for part, lang in rows:
-        data = part.encode()
-        for at in range(0, max(1, len(data) - TRAIN_BYTES + 1), TRAIN_BYTES):
-            piece = data[at : at + TRAIN_BYTES]
-            if _letter.search(piece.decode(errors="ignore")):
-                x.append(np.frombuffer(piece.ljust(TRAIN_BYTES), np.uint8))
-                y.append(classes.index(lang))
-    if not x:
+    rows = [(text, lang) for text, lang in rows if _letter.search(text)]
+    if not rows:
         return None
-    net = Network(classes)
-    net.train(np.stack(x), np.array(y), **settings)
+    net = Network(sorted({lang for _, lang in rows}))
+    net.train([text.encode() for text, _ in rows], np.array([net.classes.index(lang) for _, lang in rows]), **settings)
     return net
 
 
@@ -215,19 +261,19 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
         import pyarrow as pa
 
         net = held.value
-        for b in batches:
-            texts = [t if t is not None and _letter.search(t) else None for t in b.column(2).to_pylist()]
+        for ids, held_out, texts in common.gathered(batches, BLOCK):
+            texts = [t if t is not None and _letter.search(t) else None for t in texts]
             if net is None:
                 langs, scores = ["und"] * len(texts), [0.0] * len(texts)
             else:
                 prob = net.documents(texts)
                 langs = ["und" if t is None else net.classes[k] for t, k in zip(texts, prob.argmax(axis=1))]
                 scores = [0.0 if t is None else min(1.0, float(p)) for t, p in zip(texts, prob.max(axis=1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([ids, held_out, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     given = docs.select("doc_id", (common.crc_bucket(F.col("doc_id")) == 2).alias("held_out"), "text")
-    return given.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return given.mapInArrow(common.releasing(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
