@@ -5,9 +5,9 @@ languages, and a document's distribution is the mean over all its positions.  It
 backpropagation through time on a bounded sample of labelled rows (``SAMPLE`` of each language, by a hash of the
 text, each text once): batches of stretches of TRAIN_BYTES bytes are drawn from all of their whole texts.
 
-Texts are read side by side, longest first, so that a step goes on with those that are not at their end.  Positions
-are worked on in spans of about POSITIONS: the states at the spans' borders are kept on the way forth, and the way
-back goes from span to span, so that memory is bounded for texts of any length.
+PANEL texts of about one length are read side by side, longest first, in both directions at once, each from its own
+start and its own end, so that a step goes on with those that are not through.  A panel has about POSITIONS
+positions at most, or one text.
 
 Cases: a text that is null or has no letter (Unicode category L) is ``und`` with score 0; rows without lang, and
 rows of the held-out quarter, are never learned from; with nothing to learn from every text is ``und``; equal rows
@@ -16,8 +16,6 @@ give equal rows; a null doc_id falls into the bucket of the empty text; other co
 
 from __future__ import annotations
 
-from itertools import pairwise
-
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +27,8 @@ from . import common
 SAMPLE = 400
 HIDDEN, TRAIN_BYTES = 8, 96
 STEPS, BATCH, RATE = 200, 160, 0.02
-#: Positions whose distributions are held at once, and characters of texts that are read side by side.
-POSITIONS = BLOCK = 12_000_000
+#: Texts and positions that are read side by side, characters that are dealt to panels at once.
+PANEL, POSITIONS, BLOCK = 1024, 8_000_000, 32_000_000
 #: Positions whose inputs are looked up at once, where few texts are left.
 LOOKUP = 8192
 _letter = regex.compile(r"\p{L}")
@@ -73,42 +71,74 @@ class Network:
             out[t] = s
         return out
 
-    def _walk(self, d: str, x: np.ndarray, widths: np.ndarray, state: np.ndarray, out: np.ndarray | None) -> np.ndarray:
-        """As ``states``, for scoring, over one span of the texts side by side; returns the state after it.
+    def documents(self, texts: list[str | None]) -> np.ndarray:
+        """Mean distribution over the positions of each text; zeros for an empty one."""
+        data = [np.frombuffer((t or "").encode(), np.uint8) for t in texts]
+        order = sorted((k for k in range(len(data)) if len(data[k])), key=lambda k: -len(data[k]))
+        pooled = np.zeros((len(texts), len(self.classes)))
+        while order:
+            size = np.cumsum([len(data[k]) for k in order[:PANEL]])
+            n = max(1, int(np.searchsorted(size, POSITIONS, "right")))
+            pooled[order[:n]] = self._means([data[k] for k in order[:n]])
+            order = order[n:]
+        return pooled
 
-        ``widths[t]`` texts are read at step t, their bytes follow each other in ``x``; backwards the last step comes
-        first and texts set in at their end.  ``state`` is (H, texts).  What the states add to the classes is
-        added to ``out`` (C, positions).  The batch is innermost, so that a step is a few long loops.
-        """
-        h = self.h
-        W, U, O = (np.ascontiguousarray(self.p[k + d].T) for k in "WUO")
-        W[: 2 * h] *= 0.5  # the logistic function is a tanh of half its argument
-        U[: 2 * h] *= 0.5
-        n, steps = state.shape[1], len(widths)
+    def _means(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Mean distributions of texts that are read side by side, longest first."""
+        lengths = np.array(list(map(len, texts)))
+        widths = np.searchsorted(-lengths, -np.arange(lengths[0]))  # texts that are longer than t
         ends = np.cumsum(widths)
-        s, r = np.array(state, order="C"), np.empty((3 * h, n), np.float32)
+        starts = ends - widths
+        x = np.empty((2, ends[-1]), np.uint8)  # what each direction reads, step by step
+        for r, text in enumerate(texts):
+            at = starts[: len(text)] + r
+            x[0, at], x[1, at] = text, text[::-1]
+        forth, back = self._walk(x, widths, starts, ends)
+        out = np.empty((len(texts), len(self.classes)))
+        for r, n in enumerate(lengths):
+            at = starts[:n] + r
+            prob = forth.take(at, axis=0)
+            prob += back.take(at[::-1], axis=0)
+            prob += self.p["c"]
+            prob = np.ascontiguousarray(prob.T)
+            prob -= prob.max(axis=0)
+            np.exp(prob, out=prob)
+            prob /= prob.sum(axis=0)
+            out[r] = prob.mean(axis=1, dtype=np.float64)
+        return out
+
+    def _walk(self, x: np.ndarray, widths: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """What the states of each direction add to the classes: (2, positions, C).
+
+        As ``states``, for scoring: the batch is innermost, and the directions stand below each other, gate by gate, so
+        that a step is a few long loops.
+        """
+        h, n = self.h, int(widths[0])
+        gate = [slice(k * h, (k + 1) * h) for k in range(6)]
+        W, U = {}, np.zeros((6 * h, 2 * h), np.float32)
+        for k, d in enumerate("fb"):
+            for part in range(3):
+                half = 0.5 if part < 2 else 1  # the logistic function is a tanh of half its argument
+                W[k, part] = np.ascontiguousarray(self.p["W" + d][:, gate[part]].T * np.float32(half))
+                U[gate[2 * part + k], gate[k]] = self.p["U" + d][:, gate[part]].T * half
+        s, r = np.zeros((2 * h, n), np.float32), np.empty((6 * h, n), np.float32)
+        out = np.empty((2, ends[-1], len(self.classes)), np.float32)
         tanh, add, multiply, matmul = np.tanh, np.add, np.multiply, np.matmul
-        t = 0
-        while t < steps:
-            k = t  # the steps t to k are looked up at once
-            if d == "f":
-                start = ends[t] - widths[t]
-                k = max(int(np.searchsorted(ends, start + LOOKUP, "right")), t + 1)
-                low, high, order = start, ends[k - 1], range(t, k)
-            else:
-                end = ends[steps - 1 - t]
-                k = max(t + int(steps - t - np.searchsorted(ends[: steps - t] - widths[: steps - t], end - LOOKUP, "left")), t + 1)
-                low, high, order = ends[steps - k] - widths[steps - k], end, range(steps - 1 - t, steps - 1 - k, -1)
-            inputs, kept = W[:, x[low:high]], np.empty((h, high - low), np.float32)
-            for step in order:
-                m, at = widths[step], ends[step] - low
-                if m != n:
-                    s = np.ascontiguousarray(s[:, :m]) if m < n else np.concatenate([s, np.zeros((h, m - n), np.float32)], axis=1)
-                    r, n = np.empty((3 * h, m), np.float32), m
-                a = inputs[:, at - m : at]
-                gates, reset, new, rest = a[: 2 * h], a[h : 2 * h], a[2 * h :], r[2 * h :]
+        first = 0
+        while first < len(widths):  # the steps from first to last are looked up at once
+            low = starts[first]
+            last = max(int(np.searchsorted(ends, low + LOOKUP, "right")), first + 1)
+            high = ends[last - 1]
+            inputs, kept = np.empty((6 * h, high - low), np.float32), np.empty((2 * h, high - low), np.float32)
+            for (k, part), w in W.items():
+                np.take(w, x[k, low:high], axis=1, mode="clip", out=inputs[gate[2 * part + k]])
+            for m, at in zip(widths[first:last].tolist(), (starts[first:last] - low).tolist()):
+                if m < n:
+                    s, r, n = np.ascontiguousarray(s[:, :m]), np.empty((6 * h, m), np.float32), m
+                a = inputs[:, at : at + m]
+                gates, reset, new, rest = a[: 4 * h], a[2 * h : 4 * h], a[4 * h :], r[4 * h :]
                 matmul(U, s, out=r)
-                add(gates, r[: 2 * h], out=gates)
+                add(gates, r[: 4 * h], out=gates)
                 tanh(gates, out=gates)
                 add(gates, 1, out=gates)
                 multiply(gates, 0.5, out=gates)
@@ -116,60 +146,13 @@ class Network:
                 add(new, rest, out=new)
                 tanh(new, out=new)
                 s -= new
-                s *= a[:h]
+                s *= a[: 2 * h]
                 s += new
-                kept[:, at - m : at] = s
-            if out is not None:
-                out[:, low:high] += matmul(O, kept)
-            t = k
-        return s
-
-    def documents(self, texts: list[str | None]) -> np.ndarray:
-        """Mean distribution over the positions of each text; zeros for an empty one."""
-        data = [np.frombuffer((t or "").encode(), np.uint8) for t in texts]
-        order = sorted((k for k in range(len(data)) if len(data[k])), key=lambda k: -len(data[k]))
-        pooled = np.zeros((len(texts), len(self.classes)))
-        if not order:
-            return pooled
-        lengths = np.array([len(data[k]) for k in order])
-        widths = np.searchsorted(-lengths, -np.arange(lengths[0]))  # texts that are longer than t
-        ends = np.cumsum(widths)
-        # spans of steps of about POSITIONS positions
-        borders = [0]
-        while borders[-1] < len(widths):
-            before = ends[borders[-1] - 1] if borders[-1] else 0
-            borders.append(max(int(np.searchsorted(ends, before + POSITIONS, "right")), borders[-1] + 1))
-        spans = list(pairwise(borders))
-
-        def read(a: int, b: int) -> np.ndarray:
-            start = ends[a] - widths[a]
-            x = np.empty(ends[b - 1] - start, np.uint8)
-            places = ends[a:b] - widths[a:b] - start
-            for r, k in enumerate(order[: widths[a]]):
-                part = data[k][a:b]
-                x[places[: len(part)] + r] = part
-            return x
-
-        state = np.zeros((self.h, len(order)), np.float32)
-        states = [state]
-        for a, b in spans[:-1]:
-            state = self._walk("f", read(a, b), widths[a:b], state, None)
-            states.append(state)
-        back, sums = np.zeros((self.h, 0), np.float32), np.zeros((len(self.classes), len(order)))
-        for (a, b), state in zip(reversed(spans), reversed(states)):
-            x = read(a, b)
-            prob = np.zeros((len(self.classes), len(x)), np.float32)
-            prob += self.p["c"][:, None]
-            self._walk("f", x, widths[a:b], state[:, : widths[a]], prob)
-            back = self._walk("b", x, widths[a:b], back, prob)
-            prob -= prob.max(axis=0)
-            np.exp(prob, out=prob)
-            prob /= prob.sum(axis=0)
-            place = np.arange(len(x)) - np.repeat(ends[a:b] - widths[a:b] - (ends[a] - widths[a]), widths[a:b])
-            for c, p in enumerate(prob):
-                sums[c] += np.bincount(place, weights=p, minlength=len(order))
-        pooled[order] = (sums / lengths).T
-        return pooled
+                kept[:, at : at + m] = s
+            for k, d in enumerate("fb"):
+                out[k, low:high] = kept[gate[k]].T @ self.p["O" + d]
+            first = last
+        return out
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss and gradients, by backpropagation through time; y is by sequence, weight by sequence or position."""
@@ -236,9 +219,10 @@ def sample(docs: DataFrame, rows: int = SAMPLE) -> list[tuple[str, str]]:
     """(text, lang) of at most ``rows`` texts of each language, outside the held-out quarter, by a hash of the text."""
     learn = docs.where("lang is not null and text is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
     learn = learn.select("text", "lang", F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("_hash"))
-    # Texts far above the cut are left out before any text moves.
-    share = learn.groupBy(F.col("lang").alias("_lang")).agg((F.lit(3.0 * rows * (1 << 40)) / F.approx_count_distinct("_hash")).alias("_cut"))
-    few = learn.join(share, F.col("lang") == F.col("_lang")).where("_hash < _cut").dropDuplicates(["lang", "text"])
+    # Texts far above the cut are left out before any text moves; languages are classes, which the driver holds anyway.
+    count = learn.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("n")).collect()
+    cuts = docs.sparkSession.createDataFrame([(r["lang"], 3.0 * rows / max(r["n"], 1) * (1 << 40)) for r in count], "_lang string, _cut double")
+    few = learn.join(F.broadcast(cuts), F.col("lang") == F.col("_lang")).where("_hash < _cut").dropDuplicates(["lang", "text"])
     order = Window.partitionBy("lang").orderBy("_hash", "text")
     few = few.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows)
     return [(r["text"], r["lang"]) for r in few.orderBy("lang", "_rank").select("text", "lang").collect()]
