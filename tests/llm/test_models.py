@@ -119,16 +119,36 @@ def corpus(rng, n):
     return [(text(rng, "aa", rng.randint(5, 60)).capitalize() + ".", 1) if rng.random() < 0.8 else (" ".join(w.upper() + "!!" for w in text(rng, "aa", 30).split()), 0) for _ in range(n)]
 
 
-def test_positive_unlabelled_learning():
+@pytest.mark.parametrize("share", [0.3, 0.8])
+def test_positive_unlabelled_learning(share):
+    """Without any label 0, the prior is found and the cut has its meaning."""
     rng = random.Random(3)
-    rows = corpus(rng, 800)
-    x, y = np.array([quality.features(t) for t, _ in rows], float), np.array([q for _, q in rows])
-    model = quality.Model()
-    risks = model.fit(x[:300][y[:300] == 1], x[300:600], 0.8, steps=200)
+    rows = corpus(rng, 3000)
+    positive, negative = ([r for r in rows if r[1] == k] for k in (1, 0))
+    mixed = positive[1000 : 1000 + int(500 * share)] + negative[: int(500 * (1 - share))]
+    x = lambda rs: np.array([quality.features(t) for t, _ in rs], np.float32)
+    trusted, unlabelled = x(positive[:500]), x(mixed)
+    risks = quality.Network().fit(trusted, unlabelled, share, steps=200)
     assert risks[-1] < risks[0] and min(risks) >= 0
-    model.calibrate(x[:300], y[:300].astype(float))
-    s = model.score(x[600:])
-    assert np.mean((s >= 0.7) == (y[600:] == 1)) > 0.98
+    assert abs(quality.class_prior(trusted, unlabelled) - share) < 0.06
+    model = quality.fitted(trusted, unlabelled)
+    held = positive[500:700] + negative[-100:]
+    s = model.score(x(held))
+    assert np.mean((s >= 0.7) == [q == 1 for _, q in held]) > 0.98 and abs(model.score(unlabelled).mean() - share) < 0.08
+
+
+def test_best_bin():
+    rng = np.random.default_rng(0)
+    p, n = rng.normal(2, 1, 4000), rng.normal(-2, 1, 4000)
+    assert abs(quality.least_ratio(p[:2000], np.concatenate([p[2000:3000], n[:3000]])) - 0.25) < 0.04
+    assert quality.least_ratio(p, n) < 0.1 and quality.least_ratio(p[:2000], p[2000:]) > 0.9
+
+
+def test_samples_are_whole_where_there_are_few_and_bounded_else(spark):
+    rows = [(k % 7 if k % 3 else None, f"text {k}") for k in range(300)] + [(1, "the same text")] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert len(quality._drawn(df, 1000)) == 500 and len(quality._drawn(df, 40)) == 40 and len(quality._drawn(df.where("false"), 5)) == 0
+    assert np.array_equal(quality._drawn(df, 40), quality._drawn(df.repartition(2), 40))
 
 
 def test_quality_operator(spark, no_documents):
@@ -151,3 +171,21 @@ def test_quality_operator(spark, no_documents):
 def test_buckets_are_crc32(spark, ids):
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long").select(common.crc_bucket(F.col("doc_id")))
     assert [r[0] for r in df.collect()] == [zlib.crc32(("" if i is None else str(i)).encode()) % 4 for i in ids]
+
+
+def held_out(spark, query, name, table):
+    sf = "/root/testdata/sf0.01"
+    got = query(spark, sf).where("held_out")
+    return got.join(spark.read.parquet(f"{sf}/{table}.parquet").select("doc_id", name), "doc_id").collect()
+
+
+def test_held_out_languages(spark):
+    rows = held_out(spark, langid.op9_language_id, "lang", "documents")
+    right = [r["lang_pred"] == r["lang"] for r in rows if r["lang_pred"] != "und"]
+    assert len(right) > 200 and np.mean(right) > 0.96
+
+
+def test_held_out_quality(spark):
+    rows = held_out(spark, quality.op10_quality_classifier, "quality", "labels")
+    clean, junk = [r["predicted"] for r in rows if r["quality"] == 1], [r["predicted"] for r in rows if r["quality"] == 0]
+    assert len(clean) > 50 and np.mean(clean) > 0.95 and len(junk) > 5 and np.mean(junk) < 0.1

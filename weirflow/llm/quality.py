@@ -1,16 +1,23 @@
 """Quality by positive-unlabelled learning (operator 10).
 
-Trusted positives are labelled rows of quality 1; the unlabelled set is web text as it comes.  A small network
-``g`` minimises the non-negative unbiased risk: with the class prior ``p``,
-``p R+(g, positive) + max(0, R-(g, unlabelled) - p R-(g, positive))``.  The prior is estimated as the
-share of 1 among the labelled rows that may be learned from, smoothed.  A logistic map of ``g``, fitted on the
-same labelled rows, turns it into the chance of label 1, so that the contract's cut has its meaning.
+Trusted positives are documents of label 1; the unlabelled set is web text as it comes.  Labels 0 are never read.
+A small network ``g`` minimises the non-negative unbiased risk: with the class prior ``p``,
+``p R+(g, positive) + max(0, R-(g, unlabelled) - p R-(g, positive))``.
 
-Both samples are bounded (``SAMPLE`` rows each, by a hash of the row); every whole text is scored.
+Networks are learned from all folds but one, and their mean output counts.  The prior is estimated from the outputs
+for positives and for unlabelled texts that a network has not seen: above a cut, the share of unlabelled texts is at least ``p`` times that of positives, and their ratio is least where no
+negative scores so high (best bin, with its confidence bounds).  Networks learned with one estimate give the next.
 
-Cases: null text counts as empty, and empty texts are scored; labels whose quality is null are left out;
-repeated labels count as they are; without positives all scores are the prior; rows of the held-out quarter
-are never learned from; a null doc_id has no label; other columns are ignored.
+A logistic map of ``g`` turns it into the chance of being positive, so that the contract's cut has its meaning.  For
+the logistic loss the unbiased risk is convex in the map, ``mean(log(1 + exp(a g + b)), unlabelled) - p (a mean(g,
+positive) + b)``: its slope and shift come from the prior and the same outputs for rows not seen alone.
+
+Both samples are bounded (``POSITIVES`` and ``UNLABELLED`` rows, by a hash of the row); every whole text is scored.
+
+Cases: null text counts as empty, and empty texts are scored; labels whose quality is null, or without a doc_id, are
+left out; a doc_id of several labels is positive if one of them is 1, and so are all rows that have it; without
+positives, or with hardly any, all scores are 0.5; rows of the held-out quarter are never learned from; rows without a doc_id are
+unlabelled; other columns are kept by ``scored``, but those named ``score`` and ``predicted`` give way to the result.
 """
 
 from __future__ import annotations
@@ -21,11 +28,14 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import common
 
-SAMPLE, CUT = 6000, 0.7
-HIDDEN, STEPS, RATE = 24, 400, 0.02
+POSITIVES, UNLABELLED, CUT = 6000, 6000, 0.7
+HIDDEN, STEPS, RATE, FOLDS = 24, 150, 0.02, 3
+#: Estimates of the prior, each from networks of so many steps; the confidence of its bounds.
+ROUNDS, ROUND_STEPS, DOUBT = 2, 150, 0.1
 #: A feature counts as so many standard deviations at most, of at least FLOOR; DECAY of the weights.
 CLIP, FLOOR, DECAY = 3, 0.1, 1e-3
 
@@ -66,14 +76,14 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
-class Model:
-    """One hidden layer on standardised features, and the logistic map of its output."""
+class Network:
+    """One hidden layer on standardised features."""
 
     def __init__(self, width: int = WIDTH, hidden: int = HIDDEN, seed: int = 3):
         rng = np.random.default_rng(seed)
-        self.mean, self.scale = np.zeros(width), np.ones(width)
-        self.p = [rng.normal(0, 1 / math.sqrt(width), (width, hidden)), np.zeros(hidden), rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1)]
-        self.slope, self.shift, self.prior = 1.0, 0.0, 0.5
+        self.mean, self.scale = np.zeros(width, np.float32), np.ones(width, np.float32)
+        weights = rng.normal(0, 1 / math.sqrt(width), (width, hidden)), np.zeros(hidden), rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1)
+        self.p = [w.astype(np.float32) for w in weights]
 
     def _hidden(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = np.clip((x - self.mean) / self.scale, -CLIP, CLIP)
@@ -82,13 +92,9 @@ class Model:
     def output(self, x: np.ndarray) -> np.ndarray:
         return self._hidden(x)[1] @ self.p[2] + self.p[3][0]
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.output(x) + self.shift, -30, 30)))
-
     def fit(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE) -> list[float]:
         """Non-negative risk with the sigmoid loss, by Adam; returns the risks on the way."""
-        self.prior = prior
-        x = np.concatenate([positive, unlabelled])
+        x = np.concatenate([positive, unlabelled]).astype(np.float32)
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + FLOOR
         n, u = len(positive), len(unlabelled)
         m, v, risks = [np.zeros_like(p) for p in self.p], [np.zeros_like(p) for p in self.p], []
@@ -100,7 +106,7 @@ class Model:
             negative_risk = (1 - wrong[n:]).mean() - prior * (1 - wrong[:n]).mean()
             risks.append(positive_risk + max(0.0, negative_risk))
             slope = wrong * (1 - wrong)  # of the loss as a negative, by g
-            d = np.zeros(n + u)
+            d = np.zeros(n + u, np.float32)
             if negative_risk >= 0:
                 d[:n] = -2 * prior * slope[:n] / n
                 d[n:] = slope[n:] / u
@@ -112,24 +118,85 @@ class Model:
             for k, gk in enumerate(grads):
                 m[k] = 0.9 * m[k] + 0.1 * gk
                 v[k] = 0.99 * v[k] + 0.01 * gk * gk
-                self.p[k] = self.p[k] - rate * (1 - step / (steps + 1)) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+                self.p[k] = (self.p[k] - rate * (1 - step / (steps + 1)) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return risks
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """The logistic map that makes the score the chance of label 1 on labelled rows (Newton's method)."""
-        g = self.output(x)
-        a = np.array([1.0, 0.0])
+def least_ratio(positive: np.ndarray, unlabelled: np.ndarray, doubt: float = DOUBT) -> float:
+    """The class prior by the best bin: the least of share of unlabelled over share of positives above a cut."""
+    cuts = np.sort(positive)
+    above = 1 - np.arange(len(cuts)) / len(cuts)
+    among = 1 - np.searchsorted(np.sort(unlabelled), cuts, "left") / len(unlabelled)
+    bound = math.sqrt(math.log(4 / doubt) / 2) * (1 / math.sqrt(len(positive)) + 1 / math.sqrt(len(unlabelled)))
+    best = int(np.argmin((among + 1.01 * bound) / above))
+    return float(np.clip(among[best] / above[best], 0.01, 0.99))
+
+
+def crossed(positive: np.ndarray, unlabelled: np.ndarray, prior: float, folds: int, steps: int) -> tuple[list[Network], np.ndarray, np.ndarray]:
+    """A network for each fold, learned from the others, and the output for each row of the network that hasn't seen it."""
+    networks, g = [], [np.empty(len(positive)), np.empty(len(unlabelled))]
+    for k in range(folds):
+        mine = [np.arange(len(x)) % folds == k for x in (positive, unlabelled)]
+        networks.append(Network(seed=3 + k))
+        networks[-1].fit(positive[~mine[0]], unlabelled[~mine[1]], prior, steps)
+        for out, x, own in zip(g, (positive, unlabelled), mine):
+            out[own] = networks[-1].output(x[own])
+    return networks, *g
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = ROUNDS, steps: int = ROUND_STEPS) -> float:
+    """The share of positives among the unlabelled."""
+    prior = 0.5
+    for _ in range(rounds):
+        _, *g = crossed(positive, unlabelled, prior, 2, steps)
+        prior = least_ratio(*g)
+    return prior
+
+
+class Model:
+    """Networks, whose mean output counts, and the logistic map of it."""
+
+    def __init__(self, networks: list[Network] = (), prior: float = 0.5):
+        self.networks, self.prior, self.slope, self.shift = networks, prior, 1.0, 0.0
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        g = np.mean([n.output(x) for n in self.networks], axis=0) if self.networks else np.zeros(len(x))
+        return 1 / (1 + np.exp(-np.clip(self.slope * g + self.shift, -30, 30)))
+
+    def calibrate(self, positive: np.ndarray, unlabelled: np.ndarray) -> None:
+        """From outputs for rows not seen: the logistic map of least unbiased risk, by Newton's method; a little weight keeps the slope finite."""
+        g = unlabelled
         rows = np.stack([g, np.ones_like(g)], axis=1)
-        for _ in range(50):
+        aim = self.prior * np.array([positive.mean(), 1.0])
+        a, ridge = np.array([1.0, 0.0]), np.array([1e-3, 0.0])
+
+        def risk(a: np.ndarray) -> float:
+            return float(np.logaddexp(0, rows @ a).mean() - aim @ a + 0.5 * ridge @ (a * a))
+
+        for _ in range(100):
             p = 1 / (1 + np.exp(-np.clip(rows @ a, -30, 30)))
-            h = (rows * (p * (1 - p))[:, None]).T @ rows + 1e-3 * np.eye(2)
-            step = np.linalg.solve(h, rows.T @ (y - p) - 1e-3 * (a - [1.0, 0.0]))
-            a += np.clip(step, -2, 2)
-            if np.abs(step).max() < 1e-8:
+            slope = (rows * p[:, None]).mean(axis=0) - aim + ridge * a
+            h = (rows * (p * (1 - p))[:, None]).T @ rows / len(g) + 1e-6 * np.eye(2)
+            step = np.linalg.solve(h, slope)
+            size = 1.0
+            while size > 1e-6 and risk(a - size * step) > risk(a):
+                size /= 2
+            a = a - size * step
+            if np.abs(size * step).max() < 1e-7:
                 break
         self.slope, self.shift = max(float(a[0]), 1e-3), float(a[1])
 
 
+def fitted(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+    """The model of the features of positives and of unlabelled texts."""
+    if min(len(positive), len(unlabelled)) < 2 * FOLDS:
+        return Model()
+    prior = class_prior(positive, unlabelled)
+    networks, *g = crossed(positive, unlabelled, prior, FOLDS, STEPS)
+    model = Model(networks, prior)
+    model.calibrate(*g)
+    return model
+
+
 def _featured(rows: DataFrame, schema: str) -> DataFrame:
     """Features of ``text`` beside the other columns."""
 
@@ -144,37 +211,35 @@ def _featured(rows: DataFrame, schema: str) -> DataFrame:
     return rows.mapInArrow(common.releasing(run), schema + ", features array<float>")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
-    """The model of a bounded sample of labelled rows and one of unlabelled text."""
-    marked = labels.where("doc_id is not null and quality is not null").where(common.crc_bucket(F.col("doc_id")) != 2)
-    marked = marked.select("doc_id", F.col("quality").cast("int").alias("quality"), F.lit(True).alias("marked"))
-    marked = common.hashed_sample(marked, rows, marked.count(), "doc_id", "quality")
-    plain = docs.where(common.crc_bucket(F.col("doc_id")) != 2).select("doc_id")
-    plain = common.hashed_sample(plain, rows, plain.count(), "doc_id").distinct().select("doc_id", F.lit(-1).alias("quality"), F.lit(False).alias("marked"))
-    # at most 2 * rows ids
-    chosen = docs.sparkSession.createDataFrame(marked.union(plain).collect(), marked.schema)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = _featured(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "marked", "text"), f"doc_id {kind}, quality int, marked boolean")
-    # rows that repeat a chosen doc_id are all featured; so many in all, however often it is repeated
-    got = found.select("doc_id", "quality", "marked", "features").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "quality").limit(4 * rows).collect()
-    x = np.array([r["features"] for r in got], np.float64).reshape(len(got), WIDTH)
-    y = np.array([r["quality"] if r["marked"] else -1 for r in got], int)
-    model = Model()
-    positive, known = x[y == 1], y >= 0
-    model.prior = (np.sum(y == 1) + 1) / (np.sum(known) + 2)
-    if not len(positive) or not np.sum(y == -1):
-        model.p[2][:] = 0
-        model.shift = math.log(model.prior / (1 - model.prior))
-        return model
-    model.fit(positive, x[y == -1], float(model.prior))
-    model.calibrate(x[known], y[known].astype(float))
-    return model
+def _drawn(texts: DataFrame, rows: int) -> np.ndarray:
+    """Features of at most ``rows`` rows (doc_id, text), those of the smallest hashes."""
+    hashed = texts.select(F.col("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("_hash"))
+    total = hashed.count()
+    if total > rows:
+        if total > 4 * rows:
+            hashed = hashed.where(F.col("_hash") < int((1 << 40) * 3 * rows / total))
+        cut = hashed.select("_hash").orderBy("_hash").limit(rows).agg(F.max("_hash")).first()[0]
+        hashed = hashed.where(F.col("_hash") <= cut)
+    got = _featured(hashed, "_hash long").orderBy("_hash", "features").limit(rows).select("features").collect()
+    return np.array([r["features"] for r in got], np.float32).reshape(len(got), WIDTH)
+
+
+def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
+    """The model of a bounded sample of positives and one of unlabelled text."""
+    marked = labels.where("doc_id is not null and quality = 1").where(common.crc_bucket(F.col("doc_id")) != 2).select("doc_id").distinct()
+    # at most `positives` ids
+    ids = common.hashed_sample(marked, positives, marked.count(), "doc_id").collect()
+    chosen = docs.sparkSession.createDataFrame(ids, marked.schema)
+    plain = docs.where(common.crc_bucket(F.col("doc_id")) != 2).select("doc_id", "text")
+    trusted = plain.join(F.broadcast(chosen), "doc_id", "left_semi")
+    return fitted(_drawn(trusted, positives), _drawn(plain, unlabelled))
 
 
 def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     """The columns of ``docs`` with score and predicted, of every whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = docs.select(*common.quoted(rest))
 
     def run(batches):
         import pyarrow as pa
@@ -182,11 +247,11 @@ def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
         model = held.value
         for b in batches:
             f = [features(t) for t in b.column("text").to_pylist()]
-            s = model.score(np.array(f, np.float64).reshape(len(f), WIDTH))
+            s = model.score(np.array(f, np.float32).reshape(len(f), WIDTH)).astype(np.float64)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32))], [*rest, "score", "predicted"])
 
-    schema = docs.select(*rest).schema.add("score", "double").add("predicted", "integer")
-    return docs.select(*rest).mapInArrow(common.releasing(run), schema)
+    schema = StructType([*kept.schema.fields]).add("score", "double").add("predicted", "integer")
+    return kept.mapInArrow(common.releasing(run), schema)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
