@@ -44,3 +44,13 @@ def test_odd_rows(spark, documents, no_documents):
     assert decontam.contaminated(documents, items).collect() == []
     assert decontam.contaminated(no_documents, items).collect() == []
     assert decontam.contaminated(documents, items.where("false")).collect() == []
+
+
+def test_ids_of_other_types_and_blocks(spark, monkeypatch):
+    from decimal import Decimal
+
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 60)
+    items = [(Decimal(f"{k}.5"), " ".join(f"w{k}x{j}" for j in range(9))) for k in range(6)]
+    docs = spark.createDataFrame([(k, f"some words {t} and more") for k, (_, t) in enumerate(items)], "doc_id long, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame(items, "item_id decimal(5,1), text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(k, i) for k, (i, _) in enumerate(items)]

@@ -84,3 +84,17 @@ def test_the_group_keeps_one_text_of_an_id(spark, tables, sentence):
     docs = spark.createDataFrame([(5, base, "en", "a", 1), (5, base + " more", "en", "b", 1), (None, base, "en", "c", 1), (6, base, "en", "d", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.unlike(spark, docs, root).collect()
     assert [r["doc_id"] for r in kept] == [5]
+
+
+def test_columns_of_any_name_come_through(spark, tables, sentence):
+    """No n_chars, and columns named as the stages' own results: all come back as they were."""
+    root, _, item = tables
+    names = ["spans", "score", "predicted", "text_a", "item_id", "n", "row", "_rules", "postings_0", "id", "a.b", "node", "key"]
+    rows = [(k, t) for k, t in enumerate([sentence(40), sentence(41) + " password=abcdefgh12", f"{sentence(20)} {item}", "", None, sentence(30)])]
+    docs = spark.createDataFrame([(i, t, *[f"{n}{i}" for n in names]) for i, t in rows], ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, root)
+        assert out.dtypes == docs.dtypes, name
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, root).count() == 6

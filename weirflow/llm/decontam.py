@@ -7,7 +7,8 @@ holds at least one sampled shingle.  A document is therefore a candidate of an i
 sample occurs in it, and no partition whose items need more shingles than the document has is searched.
 Candidates are confirmed by counting the item's shingles in the document, as words, over the whole text.
 
-Items go to the executors in blocks of a bounded number of shingles, and each block meets all documents.
+Items go to the executors in blocks of bounded bytes, and each block meets all documents; where there are several,
+a block's results are written before the next one is read, so that the driver holds one.
 
 Words are runs of ASCII letters and digits (A-Z lower-cased) and of all other non-ASCII characters; shingles
 take five words.  Cases: an item or document without words contains and is contained in nothing; an item of
@@ -19,10 +20,12 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
 
@@ -100,12 +103,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, thresh
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.max(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(total[0] / BLOCK_BYTES))
+    item_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"{', '.join(f'{c} {docs.schema[c].dataType.simpleString()}' for c in keys)}, item_id {item_kind}, item_shingles long, shared long, containment double"
 
-    def search(block: list[tuple]):
-        held = spark.sparkContext.broadcast(block)
-
+    def search(held) -> DataFrame:
         def run(batches):
             import pyarrow as pa
 
@@ -120,25 +122,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, thresh
                             at.append(k)
                             rows.append((item_id, len(grams), both, both / len(grams)))
                     item_id, n, both, share = zip(*rows) if rows else ((), (), (), ())
-                    kinds = _arrow(item_kind)
                     named = [b.column(c).take(pa.array(at, pa.int64())) for c in range(len(keys))]
-                    yield pa.RecordBatch.from_arrays([*named, pa.array(item_id, kinds), pa.array(n, pa.int64()), pa.array(both, pa.int64()), pa.array(share, pa.float64())], [*keys, "item_id", "item_shingles", "shared", "containment"])
+                    yield pa.RecordBatch.from_arrays([*named, pa.array(item_id, item_arrow), pa.array(n, pa.int64()), pa.array(both, pa.int64()), pa.array(share, pa.float64())], [*keys, "item_id", "item_shingles", "shared", "containment"])
 
         return docs.select(*keys, "text").mapInArrow(common.releasing(run), schema)
 
-    out = None
-    for k in range(blocks):
+    def block(k: int) -> DataFrame:
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(blocks)) == k)
-        with np.errstate(over="ignore"):
-            found = search([tuple(r) for r in part.collect()])  # a block's bytes are bounded
-        out = found if out is None else out.union(found)
-    return out
-
-
-def _arrow(kind: str):
-    import pyarrow as pa
-
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "smallint": pa.int16()}[kind]
+        held = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])  # a block's bytes are bounded
+        found = search(held)
+        if blocks == 1:
+            return found
+        written = scratch.keep(found, f"block-{k}")
+        held.destroy()
+        return written
+
+    scratch = common.Scratch(spark, "decontamination")
+    return reduce(DataFrame.union, map(block, range(blocks)))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -302,8 +302,8 @@ def linked(docs: DataFrame, size: int, threshold: Fraction, scratch: common.Scra
     scratch.drop(shared)
     involved = scratch.keep(members.groupBy("node").agg(F.sum("n").alias("weight")), "involved")
     sought = scratch.keep(nodes.select("node", "n_shingles", "registers", "text_a", "text_b").join(involved, "node"), "sought")
-    texts = docs.where("text is not null").select("text", *text_hashes())
-    # equal texts are met again as often as they occur: one of each is taken before their texts move
+    # Copies of one text are one key: each task takes one of them before texts move.
+    texts = docs.where("text is not null").select("text", *text_hashes()).groupBy("text_a", "text_b").agg(F.first("text").alias("text"))
     found = texts.join(sought, ["text_a", "text_b"]).select("node", "text", "registers", "n_shingles")
     held = scratch.keep(found.groupBy("node").agg(F.first("text").alias("text"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")), "texts")
     scratch.drop(sought)

@@ -17,7 +17,8 @@ Both samples are bounded (``POSITIVES`` and ``UNLABELLED`` rows, by a hash of th
 Cases: null text counts as empty, and empty texts are scored; labels whose quality is null, or without a doc_id, are
 left out; a doc_id of several labels is positive if one of them is 1, and so are all rows that have it; without
 positives, or with hardly any, all scores are 0.5; rows of the held-out quarter are never learned from; rows without a doc_id are
-unlabelled; other columns are kept by ``scored``, but those named ``score`` and ``predicted`` give way to the result.
+unlabelled; other columns are kept by ``scored``, but those of the
+result's names give way to it.
 """
 
 from __future__ import annotations
@@ -235,23 +236,23 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     return fitted(_drawn(trusted, positives), _drawn(plain, unlabelled))
 
 
-def scored(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
-    """The columns of ``docs`` with score and predicted, of every whole text."""
+def scored(docs: DataFrame, model: Model, cut: float = CUT, into: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """The columns of ``docs`` with score and predicted, named as ``into`` says, of every whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c not in ("score", "predicted")]
-    kept = docs.select(*common.quoted(rest))
+    rest = [c for c in docs.columns if c not in into]
+    kept, at = docs.select(*common.quoted(rest)), rest.index("text")
 
     def run(batches):
         import pyarrow as pa
 
         model = held.value
         for b in batches:
-            f = [features(t) for t in b.column("text").to_pylist()]
+            f = [features(t) for t in b.column(at).to_pylist()]
             s = model.score(np.array(f, np.float32).reshape(len(f), WIDTH)).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32))], [*rest, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32))], [*rest, *into])
 
-    schema = StructType([*kept.schema.fields]).add("score", "double").add("predicted", "integer")
-    return kept.mapInArrow(common.releasing(run), schema)
+    schema = StructType([*kept.schema.fields]).add(into[0], "double").add(into[1], "integer")
+    return kept.toDF(*[f"c{k}" for k in range(len(rest))]).mapInArrow(common.releasing(run), schema)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ Positions come from the text itself: the parts between matches and the matches f
 running sums of their lengths are the offsets.
 
 Cases: a null text has no span; an empty table gives an empty result; equal rows give equal rows, whatever
-their doc_id; a null doc_id is kept; other columns of the input are kept by ``scan``, but one named ``spans``
-gives way to the result.
+their doc_id; a null doc_id is kept; other columns of the input are kept by ``scan``, but one of the
+result's name gives way to it.
 """
 
 from __future__ import annotations
@@ -116,17 +116,17 @@ def _count(kind: int) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The input with ``spans``: an array of (start, kind's place, end) in order, of each whole text."""
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "spans") -> DataFrame:
+    """The input with ``into``: an array of (start, kind's place, end) in order, of each whole text."""
     queries = [r.query for r in rules]
     grams = sorted({g for q in queries for g in trigrams.grams(q)})
-    kept = [c for c in docs.columns if c != "spans"]
+    kept = [c for c in docs.columns if c != into]
     names = common.fresh(kept, *[f"postings_{k}" for k in range(-(-len(grams) // BITS))])
     text = F.coalesce(F.col("text"), F.lit(""))
     indexed = docs.select(*common.quoted(kept), *[p.alias(n) for p, n in zip(postings(text, grams), names)])
     lists = [F.col(n) for n in names]
     kinds = [_of_kind(_spans(rule, text, candidate(query, grams, lists)), k) for k, (rule, query) in enumerate(zip(rules, queries))]
-    return indexed.select(*common.quoted(kept), F.array_sort(F.concat(*kinds)).alias("spans"))
+    return indexed.select(*common.quoted(kept), F.array_sort(F.concat(*kinds)).alias(into))
 
 
 def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
