@@ -12,7 +12,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     common.arrow_rows(spark, 256)
     model = quality.learn(docs, common.table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).where("predicted = 1").select(docs.columns)
+    score, predicted = common.fresh(docs.columns, "score", "predicted")
+    return quality.scored(docs, model, into=(score, predicted)).where(F.col(predicted) == 1).drop(score, predicted)
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,36 +21,42 @@ def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A row is known by its doc_id and its text, so that other texts of that doc_id, or of none, have a fate of their own.
     """
-    scratch, key = common.Scratch(spark, "kept"), ["_id", "_text_a", "_text_b"]
-    first = scratch.keep(neardup.first_rows(docs).toDF(*key, "_n"), "kept")
-    worded = docs.where(neardup.has_words()).select("*", *neardup.text_hashes("_a", "_b"))
+    columns = common.quoted(docs.columns)
+    doc, text_a, text_b, n, a, b, whole = common.fresh(docs.columns, "id", "text_a", "text_b", "n", "a", "b", "row")
+    scratch, key = common.Scratch(spark, "kept"), [doc, text_a, text_b]
+    first = scratch.keep(neardup.first_rows(docs).toDF(*key, n), "kept")
+    worded = docs.where(neardup.has_words()).select("*", *neardup.text_hashes(a, b))
 
     def met(some: DataFrame) -> DataFrame:
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_text_a")) & (F.col("_b") == F.col("_text_b"))
+        same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(a) == F.col(text_a)) & (F.col(b) == F.col(text_b))
         return worded.join(some, same)
 
-    out = docs.where(~neardup.has_words()).union(met(first.where("_n = 1")).select(docs.columns))
-    again = first.where("_n > 1")
+    out = docs.where(~neardup.has_words()).union(met(first.where(F.col(n) == 1)).select(*columns))
+    again = first.where(F.col(n) > 1)
     if again.limit(1).count():  # rows equal in doc_id and text: the smallest by their other columns
-        out = out.union(met(again).groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
+        out = out.union(met(again).groupBy(*key).agg(F.min(F.struct(*columns)).alias(whole)).select(f"{whole}.*"))
     return out
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item, which is a matter of their text alone."""
-    key = ["_text_a", "_text_b"]
+    key = common.fresh([*docs.columns, "item_id", "item_shingles", "shared", "containment"], "text_a", "text_b")
     hashed = docs.select("*", *neardup.text_hashes(*key))
     leaks = decontam.contaminated(hashed, common.table(spark, sf_dir, "benchmark"), keys=tuple(key)).select(*key).distinct()
     found = common.Scratch(spark, "leaks").keep(leaks, "leaks")
-    return hashed.join(found, key, "left_anti").select(docs.columns)
+    return hashed.join(found, key, "left_anti").select(*common.quoted(docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets masked and n_chars as the text then is."""
-    found = secrets.scan(docs)
-    text = secrets.masked(F.col("text"), F.col("spans"))
-    hit = F.size("spans") > 0
-    return found.withColumn("text", text).withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    """All documents, with their secrets masked, and n_chars, where there is one, as the text then is."""
+    spans, masked = common.fresh(docs.columns, "spans", "masked")
+    found = secrets.scan(docs, into=spans)
+    found = found.select("*", secrets.masked(F.col("text"), F.col(spans)).alias(masked))
+    changed = {"text": F.col(masked)}
+    if "n_chars" in docs.columns:
+        length = F.length(masked).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars"))
+    return found.select(*[changed[c].alias(c) if c in changed else q for c, q in zip(docs.columns, common.quoted(docs.columns))])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
