@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from weirflow.llm import html
@@ -59,6 +61,67 @@ def test_scores():
     assert html.extract(deep) == "deep, text"
 
 
+@pytest.mark.parametrize("wrapper", ["page has-sidebar", "post share-enabled", "entry social", "layout widget-area-on", "article-body related", "legal"])
+def test_a_class_word_on_a_wrapper_cuts_nothing(wrapper):
+    text = "".join(f"<p>Paragraph {k}, of some length, with commas, that is plainly a part of the article on this page.</p>" for k in range(3))
+    got = html.extract(f"<body><div class='{wrapper}'>{text}</div><div class=teaser>Short teaser.</div></body>")
+    assert all(f"Paragraph {k}" in got for k in range(3))
+
+
+def test_scores_decide_over_articles():
+    teaser = "<article><h2>Other story</h2><p>Read it.</p></article>"
+    assert html.extract(f"<body><div class=story>{BODY}{BODY}</div><div>{teaser}</div></body>") == f"{TEXT}\n\n{TEXT}"
+    assert html.extract(f"<main>{BODY}<section class='responses'>{LONG * 4}</section></main>") == TEXT
+
+
+def test_siblings_that_read_like_prose():
+    page = f"<body><p>x</p><h2>Part two</h2><p>One more, short.</p><div>{BODY * 12}</div><div>{BODY * 4}</div><ul><li>A closing list, with some words in it.</li><li>And a second line.</li></ul><p>y</p></body>"
+    assert html.extract(page).split("\n\n") == ["Part two", "One more, short.", *(TEXT.split("\n\n") * 16), "A closing list, with some words in it.", "And a second line."]
+
+
+def random_tree(rng, depth):
+    parts = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.random()
+        if depth and kind < 0.5:
+            parts.append(f"<{(name := rng.choice(['div', 'section', 'article', 'ul']))}>{random_tree(rng, depth - 1)}</{name}>")
+        elif kind < 0.7:
+            parts.append(f"<p><a href=x>{'link, ' * rng.randint(1, 9)}</a> word</p>")
+        else:
+            parts.append(f"<p>{'word, ' * rng.randint(1, 40)}end.</p>")
+    return "".join(parts)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_scores_by_brute_force(seed):
+    """The element that is kept is the best by sums taken anew over every element's own blocks."""
+    rng = random.Random(seed)
+    root = html.parse(random_tree(rng, 4))
+    found, best = html.blocks(root), {}
+    for node in html.preorder(root):
+        score, size, linked = 0.0, 0, 0
+        for b in found:
+            up, level = b.node, 0
+            while up is not None and up is not node:
+                up, level = up.parent, level + 1
+            if up is node:
+                size, linked = size + len(b.text()), linked + min(b.linked, len(b.text()))
+                level = max(level - (b.node.name in html.PARAGRAPHS), 0) if b.node is not node or b.node.name not in html.PARAGRAPHS else None
+                if level is not None:
+                    score += html._points(b.text(), b.linked) * (1 if node.name in html.ARTICLES else 0.5**level)
+        best[id(node)] = score * (1 - linked / size) if size else 0.0
+    assert html.weigh(root, found)[-1] == pytest.approx(best)
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    for page in ("<div>deep, text, " * 16_000, "<b>x" * 20_000 + "</i>" * 20_000, "<div class=x-sidebar>text, " * 5_000, "<p><b>" * 10_000 + "<div>" * 10_000):
+        start = time.time()
+        html.extract(page)
+        assert time.time() - start < 4
+
+
 def test_operator(spark):
     rows = [(1, "u", f"<article>{BODY}</article>", "x"), (2, None, None, "x"), (None, "v", "", "x"), (3, "w", "<p>" + "word, " * 50_000 + "</p>", "x"), (1, "u", f"<article>{BODY}</article>", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -2,19 +2,23 @@
 
 The page is parsed into a tree, without scripts, styles and other raw content.  Elements that are
 boilerplate by their name or role are cut, and those that are by class or id unless they hold the page's text:
-a class may also tell of the page around it ("nav-open", "layout-sidebar").  Every paragraph earns points for its length and its
-commas and passes them to its ancestors, less with each level; an ancestor's sum is discounted by its share of
-text in links.  The best container is kept with those siblings that score well or read like paragraphs; if the
-page says that it stands in an article, the whole article is.
+a class may also tell of the page around it ("nav-open", "layout-sidebar").  Every paragraph earns points for its
+length and its commas and passes them to its ancestors, half with each level; what says that it is an article gets
+all points of what it holds.  A container's sum is discounted by its share of text in links.  The best container is
+kept with those siblings that score well or read like paragraphs, and with the headings right before them.
+
+All sums go up the tree once, children before parents, so that the work is linear in the page, however deep it is.
 
 Cases: null and empty pages give an empty text; a page without paragraphs gives what text is left after the
-cuts; a page whose text is all in elements cut by class or id gives that; broken markup is read leniently, and a tag or comment that never ends runs to the end of the
-page; equal rows give equal rows; null ids and urls are kept; other columns are ignored.
+cuts; a page whose text is all in elements cut by class or id gives that; broken markup is read leniently, and a tag
+or comment that never ends runs to the end of the page; equal rows give equal rows; null ids and urls are kept;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +34,7 @@ CLOSES_P = frozenset("address article aside blockquote details dialog div dl fie
 CLOSED_BY = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 CLOSED_BY = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSED_BY.items()}
 
-_words = "ads? adverts? advertisement advertising adsense sponsor(?:ed)? promo(?:tion)?s? banners? nav navbar navigation menus? sidebars? side-?bar footer foot cookies? consent gdpr notices? alerts? popups? modals? overlay newsletter subscribe signup login comments? comment-?list disqus replies respond share sharing social related recommended breadcrumbs? pagination pager widget toolbar skip-?link copyright legal disclaimer".split()
+_words = "ads? adverts? advertisement advertising adsense sponsor(?:ed)? promo(?:tion)?s? banners? nav navbar navigation menus? sidebars? side-?bar footer foot cookies? consent gdpr notices? alerts? popups? modals? overlay newsletter subscribe signup login comments? comment-?list disqus replies responses? respond share sharing social related recommended breadcrumbs? pagination pager widget toolbar skip-?link copyright legal disclaimer".split()
 _head_words = "masthead topbar header site-?header page-?header".split()  # an article's own header holds its title
 
 
@@ -41,7 +45,8 @@ def _any(words: list[str]) -> re.Pattern:
 _cut_words, _cut_in_article = _any(_words + _head_words), _any(_words)
 _names = re.compile(rf"(?:^|\s)(?:{'|'.join(_words + _head_words)})(?:$|\s)")  # a whole name, which says what the element is
 _state = re.compile(r"(?:^|(?<=\s))(?:(?:has|no|not|with|without)[_-]\S+|\S+[_-](?:open|opened|closed|enabled|disabled|required))(?=$|\s)")  # tells of what is around
-_prose = _any("comments? comment-?list disqus replies respond related recommended".split())  # paragraphs, but never the page's own
+_prose = _any("comments? comment-?list disqus replies responses? respond related recommended".split())  # paragraphs, but never the page's own
+_body = re.compile(r"(?:^|\s)(?:article|post|entry|story|main|page)[_-]?(?:body|content|text)(?:$|\s)")  # whole names that say the opposite
 #: Share of the page's (in an article, the article's) points from which an element of a whole name, or of a name in parts, stays.
 NAMED, PARTLY = 0.9, 0.5
 _cut_roles = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -50,11 +55,18 @@ _attr = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
+PARAGRAPHS = frozenset("p li td th pre blockquote dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements that are kept beside the best container if they read like prose.
+SINGLE = frozenset("p ul ol dl pre blockquote table figure".split())
+ARTICLES = frozenset(("article", "main"))
+
+
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "score", "article", "least")
+    __slots__ = ("name", "parent", "children", "cut", "article", "least")
 
     def __init__(self, name: str, parent: Node | None, cut: bool = False, article: bool = False, least: float | None = None):
-        self.name, self.parent, self.children, self.cut, self.score, self.article, self.least = name, parent, [], cut, 0.0, article, least
+        self.name, self.parent, self.children, self.cut, self.article, self.least = name, parent, [], cut, article, least
 
 
 def _is_cut(name: str, attrs: dict[str, str]) -> bool:
@@ -71,7 +83,7 @@ def _least(name: str, attrs: dict[str, str], in_article: bool) -> float | None:
     for k in ("class", "id"):
         value = attrs.get(k)
         if value and words.search(value := _state.sub("", value.lower())):
-            least = max(least or 0.0, 2.0 if _prose.search(value) else NAMED if _names.search(value) else PARTLY)
+            least = max(least or 0.0, PARTLY if _body.search(value) else 2.0 if _prose.search(value) else NAMED if _names.search(value) else PARTLY)
     return least
 
 
@@ -79,6 +91,17 @@ def parse(page: str) -> Node:
     """The page's tree; texts are strings among the children."""
     root = Node("#root", None)
     at, here, n, named = 0, root, len(page), []
+    open_: Counter[str] = Counter()  # open elements by name, so that what isn't open isn't sought
+
+    def leave(node: Node) -> Node:
+        """Closes all elements up to this one; what is open then."""
+        inner = here
+        while inner is not node:
+            open_[inner.name] -= 1
+            inner = inner.parent
+        open_[node.name] -= 1
+        return node.parent
+
     while at < n:
         m = _token.search(page, at)
         text = page[at : m.start()] if m else page[at:]
@@ -95,11 +118,11 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m[2] or m[6]:
-            node = here
-            while node is not root and node.name != name:
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if open_[name]:
+                node = here
+                while node.name != name:
+                    node = node.parent
+                here = leave(node)
             elif name == "br":
                 here.children.append(" ")
             continue
@@ -109,21 +132,21 @@ def parse(page: str) -> Node:
                 at = end.end() if end else n
             here.children.append(" ") if name in ("select", "noscript") else None
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and open_["p"]:
             node = here
             while node is not root and node.name != "p" and node.name in INLINE:
                 node = node.parent
             if node.name == "p":
-                here = node.parent
-        if name in CLOSED_BY:
+                here = leave(node)
+        if name in CLOSED_BY and any(open_[c] for c in CLOSED_BY[name][0]):
             closed, within = CLOSED_BY[name]
             node = here
             while node is not root and node.name not in closed and node.name not in within:
                 node = node.parent
             if node.name in closed:
-                here = node.parent
+                here = leave(node)
                 while name == "tr" and here.name in closed:
-                    here = here.parent
+                    here = leave(here)
         if name in VOID:
             if name in ("br", "wbr", "img", "input"):
                 here.children.append(" " if name != "wbr" else "")
@@ -142,6 +165,7 @@ def parse(page: str) -> Node:
         here.children.append(node)
         if not attributes.rstrip().endswith("/") or name not in ("path", "g"):
             here = node
+            open_[name] += 1
     if named:
         _cut_named(root, named)
     return root
@@ -160,39 +184,51 @@ def _cut_named(root: Node, named: list[Node]) -> None:
     """
     for node in named:
         node.cut = node.name in INLINE
-    sums: dict[int, float] = {}  # by element: its points
-    articles: dict[int, float] = {}  # by element: the points in articles that it holds
+    order = preorder(root)
+    sums = dict.fromkeys(map(id, order), 0.0)  # by element: its points
+    inside = dict(sums)  # by element: the points in articles
     for b in blocks(root):
         points = _points(b.text(), b.linked)
-        node, inside = b.node, b.node.article
-        while node is not None:
-            sums[id(node)] = sums.get(id(node), 0.0) + points
-            if inside and not node.article:
-                articles[id(node)] = articles.get(id(node), 0.0) + points
-            node = node.parent
+        sums[id(b.node)] += points
+        inside[id(b.node)] += points if b.node.article else 0.0
+    for node in reversed(order[1:]):
+        sums[id(node.parent)] += sums[id(node)]
+        inside[id(node.parent)] += inside[id(node)]
+    around: dict[int, Node] = {}  # by element: the innermost article, or the outermost part of it that says so
+    for node in order:
+        top = node.name in ("article", "main") or node.parent is None or not node.parent.article
+        around[id(node)] = node if top else around[id(node.parent)]
     cut = []
     for node in named:
-        own, least, scope = sums.get(id(node), 0.0), node.least, root
+        own, least, scope = sums[id(node)], node.least, root
         if node.article:
-            scope = node.parent
-            while scope.parent is not None and scope.name not in ("article", "main") and scope.parent.article:
-                scope = scope.parent
+            scope = around[id(node.parent)]
         else:
-            held = articles.get(id(node), 0.0)
-            outside = articles.get(id(root), 0.0) - held
+            held = inside[id(node)]
+            outside = inside[id(root)] - held
             if least == PARTLY and held:
                 least = 0.0 if held >= outside else NAMED
             elif least == PARTLY and outside:
                 least = NAMED
-        if node.name not in INLINE and not (own and own >= least * sums.get(id(scope), 0.0)):
+        if node.name not in INLINE and not (own and own >= least * sums[id(scope)]):
             cut.append(node)
     for node in cut:
         node.cut = True
-    if sums.get(id(root)) and not any(_points(b.text(), b.linked) for b in blocks(root)):
+    if sums[id(root)] and not any(_points(b.text(), b.linked) for b in blocks(root)):
         for node in cut:
             node.cut = False
 
 
+def preorder(root: Node) -> list[Node]:
+    """All elements, parents before children."""
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        out.append(node)
+        stack += [c for c in reversed(node.children) if not isinstance(c, str)]
+    return out
+
+
 class Block:
     __slots__ = ("node", "parts", "linked")
 
@@ -237,6 +273,31 @@ def blocks(root: Node) -> list[Block]:
     return [b for b in out if b.text()]
 
 
+def weigh(root: Node, found: list[Block]) -> tuple[list[Node], dict, dict, dict, dict]:
+    """All elements, and by element: its characters, those in links, its blocks, and its score less its share of links."""
+    order = preorder(root)
+    size, linked, held, score, total, worth = ({id(n): 0 for n in order} for _ in range(6))
+    for b in found:
+        text = b.text()
+        size[id(b.node)] += len(text)
+        linked[id(b.node)] += min(b.linked, len(text))
+        held[id(b.node)] += 1
+        # the paragraph's points go to what holds it
+        holder = b.node.parent if b.node.name in PARAGRAPHS and b.node.parent else b.node
+        total[id(holder)] += _points(text, b.linked)
+    own = dict(total)
+    for node in reversed(order):
+        k, up = id(node), node.parent
+        score[k] += own[k]
+        if up is not None:
+            score[id(up)] += score[k] / 2
+            for sums in (size, linked, held, total):
+                sums[id(up)] += sums[k]
+        whole = total[k] if node.name in ARTICLES else score[k]
+        worth[k] = whole * (1 - linked[k] / size[k]) if size[k] else 0.0
+    return order, size, linked, held, worth
+
+
 def extract(page: str | None) -> str:
     """The main text of a page: its blocks parted by an empty line."""
     if not page:
@@ -245,65 +306,38 @@ def extract(page: str | None) -> str:
     found = blocks(root)
     if not found:
         return ""
-    lengths: dict[int, list[int]] = {}  # by container: characters, those in links, blocks
-    nodes: dict[int, Node] = {}
-    texts = [b.text() for b in found]
-    held: dict[int, list[int]] = {}  # by element: the places of its own blocks
-    for k, (b, text) in enumerate(zip(found, texts)):
-        held.setdefault(id(b.node), []).append(k)
-        size = len(text)
-        points = _points(text, b.linked)
-        node, level = b.node, 0
-        if node.name in ("p", "li", "td", "th", "pre", "blockquote", "dd", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption") and node.parent:
-            node = node.parent  # the paragraph's points go to what holds it
-        while node is not None:
-            node.score += points / (1, 2, *(3 * k for k in range(2, 40)))[min(level, 39)]
-            got = lengths.setdefault(id(node), [0, 0, 0])
-            got[0] += size
-            got[1] += min(b.linked, size)
-            got[2] += 1
-            nodes[id(node)] = node
-            node, level = node.parent, level + 1
-
-    def worth(node: Node) -> float:
-        size, linked, _ = lengths.get(id(node), (0, 0, 0))
-        return node.score * (1 - linked / size) if size else 0.0
-
-    best = max(nodes.values(), key=worth)  # the first of equals, which is the innermost
-    node = best
-    while node is not None and node.name not in ("article", "main"):
-        node = node.parent
-    top = node if node is not None else best
-    while top.parent is not None and top.parent.article:
-        top = top.parent
+    order, size, linked, held, worth = weigh(root, found)
+    top = max(order, key=lambda n: (worth[id(n)], n.name in ARTICLES))  # the first of equals, which is the outermost
     kept = {id(top)}
-    least = max(10.0, 0.2 * worth(best))
-    for sibling in top.parent.children if top.parent else ():
-        if isinstance(sibling, str) or sibling is top or sibling.cut:
-            continue
-        size, linked, _ = lengths.get(id(sibling), (0, 0, 0))
-        own = held.get(id(sibling), []) if sibling.name == "p" else []
-        if size and worth(sibling) >= least and linked / size < 0.3:
-            kept.add(id(sibling))
-        elif own and (len(texts[own[0]]) > 80 or texts[own[0]][-1] in ".!?") and sum(found[k].linked for k in own) < 0.25 * len(texts[own[0]]):
-            kept.add(id(sibling))
-    out = []
-    for b, text in zip(found, texts):
-        node, inside, links = b.node, False, None
-        while node is not None:
-            if node.name in ("ul", "ol", "table") and links is None:
-                links = node
-            if id(node) in kept:
-                inside = True
-                break
-            node = node.parent
-        if inside and links is not None:
-            size, linked, n = lengths.get(id(links), (0, 0, 0))
-            if n > 2 and linked > 0.9 * size:
-                continue  # a list of links only is a menu
-        if inside:
-            out.append(text)
-    return "\n\n".join(out)
+    if top.parent is not None and top.name not in ARTICLES:
+        after = False  # whether the element after this one is kept
+        for sibling in reversed([c for c in top.parent.children if not isinstance(c, str)]):
+            k = id(sibling)
+            if sibling is not top and (sibling.cut or not size[k]):
+                continue
+            prose = sibling.name in SINGLE and (size[k] > 80 or _ending(sibling))
+            good = linked[k] < 0.3 * size[k] and (worth[k] >= 0.2 * worth[id(top)] or prose)
+            after = sibling is top or good or (after and sibling.name in HEADINGS and not linked[k])
+            if after:
+                kept.add(k)
+    links = {id(n) for n in order if n.name in ("ul", "ol", "table") and held[id(n)] > 2 and linked[id(n)] > 0.9 * size[id(n)]}
+    # within: a kept element around it, and whether a list of links only, which is a menu, is between
+    within: dict[int, tuple[bool, bool]] = {}
+    for node in order:
+        inside, menu = within[id(node.parent)] if node.parent else (False, False)
+        inside = inside or id(node) in kept
+        within[id(node)] = inside, inside and (menu or id(node) in links)
+    return "\n\n".join(b.text() for b in found if within[id(b.node)] == (True, False))
+
+
+def _ending(node: Node) -> bool:
+    """Whether an element's last text ends like a sentence."""
+    while node.children:
+        last = next((c for c in reversed(node.children) if not isinstance(c, str) or c.strip()), "")
+        if isinstance(last, str):
+            return last.strip()[-1:] in tuple(".!?")
+        node = last
+    return False
 
 
 def main_text(pages: DataFrame) -> DataFrame:
