@@ -14,6 +14,9 @@ TOP = temporal.TOP_TIMESTAMP
 def test_times(values):
     assert values(temporal.plain_time, "24:00:00", "10:24:24.5", "00:00:01", None) == ["00:00:00", "10:24:24", "00:00:01", None]
     assert values(temporal.utc_time, "12:00:00+02", "01:00:00.5+02:30", "23:30:00-01", "24:00:00+00", "10:00:00", "10:00:00Z", None) == ["10:00:00", "22:30:00", "00:30:00", "00:00:00", "10:00:00", "10:00:00", None]
+    for read, text in ((temporal.plain_time, "garbage"), (temporal.plain_time, "25:00:00"), (temporal.utc_time, "25:61:99+02"), (temporal.utc_time, "garbage")):
+        with pytest.raises(Exception, match="can't read the time"):
+            values(read, text)
 
 
 @pytest.mark.parametrize("given,expected", [
@@ -110,3 +113,11 @@ def test_names(values):
     assert names.slot_candidates("db", "x", ("a", "b")) == ["a_db", "a_db_x", "b_db", "b_db_x"]
     assert names.table_list([("pub lic", "a.b"), ("s", "c'd,*")]) == r"pub\ lic.a\.b,s.c\'d\,\*"
     assert values(names.escaped, "a b.c\\") == [r"a\ b\.c" + "\\\\"]
+
+
+def test_a_copy_resumes_beyond_the_wrap_of_ids(spark):
+    from weirflow.operators import snapshot
+
+    df = spark.createDataFrame([(4294967000, "a"), (4294967200, "b"), (100, "c"), (900, "d")], "xid long, v string")
+    kept = lambda **k: [r["v"] for r in snapshot.full_table(df, {"v": "text"}, "xid", 4294967100, **k).collect()]
+    assert sorted(kept()) == sorted(kept(current=1000)) == ["b", "c", "d"]

@@ -42,9 +42,20 @@ def hour_24(text: Column) -> Column:
     return F.when(text.startswith("24"), F.concat(F.lit("00"), F.substring(text, 3, 2**31 - 1))).otherwise(text)
 
 
+_CLOCK = r"([01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d+)?"
+_ZONED = r"^([01]\d|2[0-3]):[0-5]\d(?::[0-5]\d)?(?:\.\d+)?\s*(?:[+-]\d{1,2}(?::?\d{2}){0,2}|Z)?$"
+
+
+def _readable(fixed: Column, pattern: str, shown: Column) -> Column:
+    """What is shown of a time, if the time can be read; other text fails."""
+    failed = F.raise_error(F.concat(F.lit("can't read the time "), fixed)).cast("string")
+    return F.when(fixed.isNull(), fixed).when(fixed.rlike(pattern), shown).otherwise(failed)
+
+
 def plain_time(text: Column) -> Column:
     """HH:MM:SS of a time's text, without fractions."""
-    return F.substring(hour_24(text), 1, 8)
+    fixed = hour_24(text)
+    return _readable(fixed, f"^{_CLOCK}$", F.substring(fixed, 1, 8))
 
 
 def utc_time(text: Column) -> Column:
@@ -59,7 +70,7 @@ def utc_time(text: Column) -> Column:
     clock = part(1) * 3600 + part(2) * 60 + part(3)
     second = F.pmod(F.when(sign == "-", clock + offset).otherwise(clock - offset), F.lit(86_400))
     shown = F.format_string("%02d:%02d:%02d", (second / 3600).cast("int"), (second % 3600 / 60).cast("int"), second % 60)
-    return F.when(text.isNotNull(), shown)
+    return _readable(fixed, _ZONED, shown)
 
 
 _STAMP = r"^(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2})(?::(\d{2})(?:\.(\d{1,6})\d*)?)?\s*(Z|[+-]\d{2}(?::?\d{2}){0,2})?$"

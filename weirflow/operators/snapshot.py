@@ -41,12 +41,15 @@ def age(xid: Column, current: int) -> Column:
 def full_table(df: DataFrame, datatypes: Mapping[str, str | None], watermark: str | None = None, bookmark: int | None = None, current: int | None = None) -> DataFrame:
     """A table's snapshot in the text order of its transaction ids, from a bookmark's age on if one is given.
 
+    Where the current id isn't known, ids are compared as they wrap: the half circle after the bookmark is newer.
     Without a watermark column (a view) rows come in no order.
     """
     if watermark is None:
         return project(df, datatypes)
     rows = df
     if bookmark is not None:
+        if current is None:
+            current = (int(bookmark) + WRAP // 2 - 1) % WRAP
         rows = rows.where(age(ref(watermark), current) <= age(F.lit(bookmark), current))
     columns = [select_expression(c, datatypes[c]) for c in sorted(datatypes)]
     return rows.select(ref(watermark).alias(WATERMARK), *columns).orderBy(F.col(WATERMARK).cast("string"))

@@ -126,7 +126,7 @@ class Run:
             self._say(messages.activate_message(stream.destination, version))
         df = self.source.rows(stream.schema_name, stream.table)
         watermark = None if stream.is_view else self.source.fact(stream.table).watermark
-        xid = self.current_xid() if self.current_xid and bookmark is not None else 2**32 - 1
+        xid = self.current_xid() if self.current_xid and bookmark is not None else None
         rows = snapshot.full_table(df, {c: stream.datatype(c) for c in columns}, watermark, bookmark, xid)
         order = [snapshot.WATERMARK] if watermark else []
         if self.settings.batch and not as_records:
@@ -213,9 +213,17 @@ class Run:
         out = []
         for s in streams:
             known = frozenset(s.entry["schema"]["properties"]) | frozenset(seen.get((s.schema_name, s.table), ()))
-            out.append(LogStream(s.id, s.schema_name, s.table, state.get(s.id, "version"), {c: s.datatype(c) or "text" for c in s.columns}, known))
+            out.append(LogStream(s.id, s.schema_name, s.table, state.get(s.id, "version"), {c: self._typed(s, c) for c in s.columns}, known))
         return out
 
+    @staticmethod
+    def _typed(stream: Stream, column: str) -> str:
+        """A column's type; changes can't be read without it."""
+        datatype = stream.datatype(column)
+        if not datatype:
+            raise ValueError(f"no type is known for column {column} of {stream.id}")
+        return datatype
+
     def _drifted(self, streams: Sequence[Stream], state: State, new: Mapping[tuple[str, str], Sequence[str]]) -> list[LogStream]:
         """Reads the schemas of the tables that have grown again, and says them before their next record."""
         grown = [s for s in streams if (s.schema_name, s.table) in new]
