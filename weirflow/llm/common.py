@@ -29,9 +29,11 @@ _own: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where the setting is absent."""
+    """The shared folder the cluster names; a temporary one only where the setting is absent and all tasks run here."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="weirflow-"))
         root = _own[0]
