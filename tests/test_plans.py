@@ -2,6 +2,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from weirflow.config import ConfigError, Settings, flag, schema_list
 from weirflow.functions.types import ColumnInfo
@@ -10,6 +11,7 @@ from weirflow.plans import catalog, servers
 from weirflow.plans.catalog import CatalogError, Relation, Stream
 from weirflow.plans.state import State, StateError, resolve_method
 from weirflow.sources import jdbc
+from weirflow.sources.relations import JdbcSource, Split
 
 CONFIG = {"host": "h", "port": 5432, "user": "u@x", "password": "p/w", "dbname": "d b"}
 
@@ -48,6 +50,19 @@ def test_jdbc_read_is_pushed_and_split(spark):
         jdbc.scalar(df.where("id < 0"))
 
 
+def test_jdbc_source_splits_and_types(spark):
+    driver, url = "org.apache.derby.iapi.jdbc.AutoloadedDriver", "jdbc:derby:memory:split;create=true"
+    spark.range(500).selectExpr("cast(id as int) id", "cast(id as string) name").write.format("jdbc").options(url=url, dbtable="spread", driver=driver).mode("overwrite").save()
+    given = {"url": url, "dbtable": "spread", "driver": driver, "user": "APP", "password": "app"}
+    source = JdbcSource(spark, Settings.of(CONFIG), (("APP", "spread"),), override=given, splits={"spread": Split("id", 4)}, types={"spread": {"id": "bigint"}})
+    rows = source.rows("APP", "spread")
+    assert rows.rdd.getNumPartitions() == 4 and dict(rows.dtypes)["id"] == "bigint"
+    assert rows.agg(F.count("*"), F.sum("id")).first()[:] == (500, 499 * 250)
+    source.types = {"spread": {"id": "int; drop table t"}}
+    with pytest.raises(ValueError):
+        source.rows("APP", "spread")
+
+
 def entry(**stream):
     columns = [ColumnInfo("id", "integer", is_key=True), ColumnInfo("at", "timestamp without time zone"), ColumnInfo("blob", "bytea"), ColumnInfo("name", "text")]
     e = catalog.stream_entry("public", "t", False, 3, "db", columns)

@@ -14,7 +14,7 @@ from .config import Settings
 from .plans.catalog import catalog_json
 from .plans.run import Run
 from .plans.state import State
-from .sources.relations import JdbcSource, ParquetSource
+from .sources.relations import JdbcSource, ParquetSource, Split
 from .streaming.runner import LogRunner
 
 LOG = logging.getLogger("weirflow")
@@ -46,7 +46,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None, out=No
     if raw.get("parquet_root"):
         source = ParquetSource(spark, raw["parquet_root"], tuple(raw.get("tables", ())))
     else:
-        source = JdbcSource(spark, settings, tuple(tuple(t) for t in raw.get("tables", ())))
+        splits = {t: Split(x["column"], int(x["parts"])) for t, x in raw.get("splits", {}).items()}
+        source = JdbcSource(spark, settings, tuple(tuple(t) for t in raw.get("tables", ())), splits=splits, types=raw.get("column_types", {}))
     log = raw.get("change_log")
     reader = LogRunner(spark, settings, log["path"], log["checkpoint"], log.get("confirm"), given.state) if log else None
     job = Run(spark, source, settings, emit, reader, reader.current_lsn if reader else None)

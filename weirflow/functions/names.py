@@ -24,9 +24,13 @@ def qualified(schema: str, table: str) -> str:
     return f"{quote(schema)}.{quote(table)}"
 
 
+def quote_spark(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """A column of a DataFrame by its exact name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quote_spark(name))
 
 
 def slot_name(dbname: Column, pipeline: Column | None = None, prefix: str = SLOT_PREFIX) -> Column:
@@ -59,3 +63,9 @@ def escape(name: str) -> str:
 
 def table_list(tables: list[tuple[str, str]]) -> str:
     return ",".join(f"{escape(s)}.{escape(t)}" for s, t in tables)
+
+
+def read_table_list(text: str) -> frozenset[tuple[str, str]]:
+    """The schemas and tables of a ``table_list``; an escaped character is the character itself."""
+    parts = [re.sub(r"\\(.)", r"\1", p) for p in re.findall(r"(?:[^\\.,]|\\.)*", text) if p]
+    return frozenset(zip(parts[::2], parts[1::2]))

@@ -7,8 +7,11 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.names import quote_spark, ref
+from ..functions.types import is_safe_datatype
 from ..plans.catalog import Relation
 from . import jdbc
 
@@ -84,9 +87,21 @@ class SessionSource:
         return self.facts.get(table, Fact())
 
 
+@dataclass(frozen=True)
+class Split:
+    """A numeric or date column by whose values a relation is read in ``parts`` parallel ranges."""
+
+    column: str
+    parts: int
+
+
 @dataclass
 class JdbcSource:
-    """Relations of a server; names are given, their schemas come from the server."""
+    """Relations of a server; names are given, their schemas come from the server.
+
+    ``splits`` has the tables that are read in parallel; a table without one is read by one task.  ``types`` has
+    for a table the Spark types of columns that the driver would give another.
+    """
 
     spark: SparkSession
     settings: Settings
@@ -94,9 +109,28 @@ class JdbcSource:
     facts: Mapping[str, Fact] = field(default_factory=dict)
     dbname: str | None = None
     override: Mapping[str, str] = field(default_factory=dict)
+    splits: Mapping[str, Split] = field(default_factory=dict)
+    types: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def rows(self, schema: str, table: str) -> DataFrame:
-        return jdbc.read(self.spark, {**jdbc.options(self.settings, schema, table, dbname=self.dbname), **self.override})
+        given = {**jdbc.options(self.settings, schema, table, dbname=self.dbname), **self.override}
+        custom = self._types(table)
+        whole = jdbc.read(self.spark, given, custom_schema=custom)
+        split = self.splits.get(table)
+        if split is None:
+            return whole
+        # the server answers with one row; Spark's first and last range are open, so no row is beyond the bounds
+        low, high = whole.agg(F.min(ref(split.column)), F.max(ref(split.column))).first()
+        if low is None or low == high:
+            return whole
+        return jdbc.read(self.spark, given, split.column, low, high, split.parts, custom)
+
+    def _types(self, table: str) -> str | None:
+        given = self.types.get(table, {})
+        unsafe = [t for t in given.values() if not is_safe_datatype(t)]
+        if unsafe:
+            raise ValueError(f"not a type: {unsafe[0]!r}")
+        return ", ".join(f"{quote_spark(c)} {t}" for c, t in given.items()) or None
 
     def relations(self) -> list[Relation]:
         return [Relation(s, t, self.rows(s, t), self.fact(t).keys, "v" if self.fact(t).is_view else "r") for s, t in self.names]
