@@ -11,6 +11,7 @@ from weirflow.operators.batches import FileWriter
 from weirflow.operators.changelog import LogStream
 from weirflow.plans import run as runs
 from weirflow.plans.run import Run
+from weirflow.plans.servers import ServerError
 from weirflow.plans.state import State, StateError
 from weirflow.sources import change_log
 from weirflow.sources.relations import Fact, ParquetSource, SessionSource
@@ -281,6 +282,58 @@ def test_log_reads_in_batch(spark, tmp_path):
     assert [r["lsn"] for r in df.where("`table` = 'x' and lsn > 0").collect()] == [2]
 
 
+def test_streams_share_the_order_of_the_log(spark, tmp_path):
+    """Records of several streams leave in the order of the log; other tables' payloads stay where they are."""
+    log, lines = tmp_path / "log", []
+    other = LogStream("public-b,x", "public", "b,x", 4, {"id": "integer"}, frozenset({"id"}))
+    write_log(log, event(101, id=1), event(102, table="b,x", id=2), event(103, id=3), event(104, table="b,x", id=4), event(105, table="foreign", id=5))
+
+    def write(df):
+        lines.extend((r["stream"], json.loads(r["record"])["id"]) for r in df.toLocalIterator())
+        return len(lines)
+
+    s = sessions.LogSession([STREAM, other], State({"bookmarks": {"public-t": {"lsn": 100}, "public-b,x": {"lsn": 100}}}), "2024-01-01T00:00:00+00:00", write, lambda _: None)
+    sessions.run(spark, s, str(log), str(tmp_path / "checkpoint"))
+    assert lines == [("public-t", 1), ("public-b,x", 2), ("public-t", 3), ("public-b,x", 4)]
+    assert s.processed == 105 and s.unreadable == 0 and s.rows == {"public-t": 2, "public-b,x": 2}
+
+
+def test_log_is_looked_at_once(tmp_path):
+    """Positions come from new bytes only; a batch reads the files that hold its positions; half a line waits."""
+    log = tmp_path / "log"
+    write_log(log, event(10, id=1), event(30, id=2))
+    write_log(log, event(40, id=3))
+    (log / "_server.json").write_text('{"version": 160000}')
+    reader = change_log.LogStreamReader({"path": str(log), "addTables": "public.t"})
+    assert reader.latestOffset() == {"lsn": 40} and [len(reader.partitions({"lsn": a}, {"lsn": b})) for a, b in ((-1, 40), (30, 40), (10, 30))] == [2, 1, 1]
+    last = log / "0001.json"
+    with open(last, "a") as f:
+        f.write(json.dumps(event(50, id=4))[:20])
+    assert reader.latestOffset() == {"lsn": 40}
+    with open(last, "a") as f:
+        f.write(json.dumps(event(50, id=4))[20:] + "\n" + json.dumps(event(45, table="x", id=9)) + "\n" + json.dumps({"lsn": 60, "payload": "junk"}))
+    before = reader.seen[str(last)].size
+    assert reader.latestOffset() == {"lsn": 60} and reader.seen[str(last)].size > before
+    got = [r for p in reader.partitions({"lsn": 40}, {"lsn": 60}) for r in reader.read(p)]
+    assert [(r[0], r[3], r[5] if r[3] is None else "") for r in got] == [(50, "t", ""), (45, None, "{}"), (60, None, "junk")]
+    assert [r for p in reader.partitions({"lsn": 70}, {"lsn": 80}) for r in reader.read(p)] == []
+
+
+def test_servers_of_a_log(spark, tmp_path):
+    log = tmp_path / "log"
+    write_log(log, event(10, id=1))
+    settings = Settings.of(CONFIG | {"tap_id": "eu", "slot_prefixes": ["old"]})
+    reader = LogRunner(spark, settings, str(log), str(tmp_path / "checkpoints"))
+    assert reader.slot() is None and reader.current_lsn() == 10
+    for version, slots, found in ((160003, ["old_d", "weirflow_d_eu"], "weirflow_d_eu"), (160003, ["old_d_eu"], "old_d_eu"), (160003, ["other"], None), (110001, ["weirflow_d"], None), (90300, ["weirflow_d"], None)):
+        (log / "_server.json").write_text(json.dumps({"version": version, "slots": slots}))
+        if found:
+            assert reader.slot() == found and reader.current_lsn() == 10
+        else:
+            with pytest.raises(ServerError):
+                reader.current_lsn()
+
+
 # --- the command line ----------------------------------------------------------------------------
 
 

@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from .functions.names import SLOT_PREFIX
+
 
 class ConfigError(ValueError):
     """A setting is missing or can't be used."""
@@ -78,6 +80,7 @@ class Settings:
     default_method: str | None = None
     schemas: tuple[str, ...] | None = None
     pipeline_id: str | None = None
+    slot_prefixes: tuple[str, ...] = (SLOT_PREFIX,)
     fetch_rows: int = FETCH_ROWS
     limit: int | None = None
     max_run_seconds: int = MAX_RUN_SECONDS
@@ -102,6 +105,7 @@ class Settings:
             host=str(raw["host"]), port=int(raw["port"]), user=str(raw["user"]), password=str(raw["password"]), dbname=str(raw["dbname"]),
             secondary_host=raw.get("secondary_host"), secondary_port=int(raw["secondary_port"]) if raw.get("secondary_port") else None, use_secondary=secondary,
             ssl=flag(raw.get("ssl")), default_method=method, schemas=schema_list(raw.get("filter_schemas")), pipeline_id=raw.get("tap_id"),
+            slot_prefixes=(SLOT_PREFIX, *raw.get("slot_prefixes", ())),
             fetch_rows=int(raw.get("itersize") or FETCH_ROWS), limit=int(raw["limit"]) if raw.get("limit") else None,
             max_run_seconds=int(raw.get("max_run_seconds") or MAX_RUN_SECONDS), idle_seconds=float(raw.get("logical_poll_total_seconds") or IDLE_SECONDS),
             break_at_end=flag(raw.get("break_at_end_lsn"), True), debug_lsn=flag(raw.get("debug_lsn")), batch=BatchSettings.of(raw.get("batch_config")),

@@ -99,6 +99,11 @@ def drift(events: DataFrame, known: DataFrame) -> DataFrame:
     return new.distinct()
 
 
+def counts(routed: DataFrame) -> DataFrame:
+    """How many changes each stream has and its last position, a row for each stream."""
+    return routed.groupBy("schema", "table").agg(F.count("*").alias("n"), F.max("lsn").alias("last"))
+
+
 def committed(positions: DataFrame) -> DataFrame:
     """The smallest committed position of a session's streams; streams without one don't count."""
     return positions.agg(F.min("lsn").alias("committed_lsn"))

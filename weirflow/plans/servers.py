@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,15 @@ def gated(spark: SparkSession, versions: DataFrame) -> DataFrame:
     return hit.select("version", F.when(F.col("version") < OLDEST, "unsupported").when(F.col("low").isNotNull(), "faulty").otherwise("ok").alias("verdict"))
 
 
+def first_slot(candidates: Sequence[str], slots: Iterable[str]) -> str:
+    """The first candidate that exists; a missing slot is made by an operator, never here."""
+    there = frozenset(slots)
+    for name in candidates:
+        if name in there:
+            return name
+    raise ServerError(f"none of the replication slots {', '.join(candidates)} exists")
+
+
 def slot_of(candidates: DataFrame, slots: DataFrame) -> DataFrame:
     """The first candidate, by its place, that exists."""
     return candidates.join(slots, "name", "left_semi").groupBy("dbname").agg(F.min_by("name", "place").alias("name"))

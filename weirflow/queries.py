@@ -252,8 +252,8 @@ def wal_escape(spark, sf_dir):
 
 @query("select string_agg('public.' || replace(n_name, ' ', '\\ '), ',' order by n_name) tables from nation")
 def add_tables(spark, sf_dir):
-    one = F.concat(names.escaped(F.lit("public")), F.lit("."), names.escaped(F.col("n_name")))
-    return _table(spark, sf_dir, "nation").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_name", one.alias("t")))), lambda x: x["t"]), ",").alias("tables"))
+    tables = [("public", r["n_name"]) for r in _table(spark, sf_dir, "nation").select("n_name").orderBy("n_name").collect()]
+    return spark.createDataFrame([(names.table_list(tables),)], "tables string")
 
 
 @query("""select p_partkey, '"' || replace(p_name || '"' || p_brand, '"', '""') || '"' as quoted from part""")
@@ -265,7 +265,10 @@ _NAMES = ["integer", "numeric(10,2)", "character varying(33)", "timestamp with t
 _INLINE = ", ".join("('{}')".format(n.replace("'", "''")) for n in _NAMES)
 
 
-@query(f"""select name, regexp_full_match(name, '[A-Za-z_][A-Za-z0-9_ ."]*(\\(\\d+(,\\s*\\d+)?\\))?(\\[\\])?') safe from (values {_INLINE}) t(name)""")
+_SAFE = ["integer", "numeric(10,2)", "character varying(33)", "timestamp with time zone", "integer[]", "bit(5)", 'my."Type"', "numeric(10, 2)[]"]
+
+
+@query(f"""select name, name in ({", ".join(f"'{n}'" for n in _SAFE)}) safe from (values {_INLINE}) t(name)""")
 def datatype_whitelist(spark, sf_dir):
     return spark.createDataFrame([(n, types.is_safe_datatype(n)) for n in _NAMES], "name string, safe boolean")
 
@@ -481,7 +484,8 @@ def batch_assignment(spark, sf_dir):
 
 @query("select event_type as stream, count(*) n from events group by event_type")
 def row_metrics(spark, sf_dir):
-    return _table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("stream")).agg(F.count("*").alias("n"))
+    changes = _table(spark, sf_dir, "events").select(F.lit("public").alias("schema"), F.col("event_type").alias("table"), F.col("event_id").alias("lsn"))
+    return changelog.counts(changes).select(F.col("table").alias("stream"), "n")
 
 
 @query("""select n_nationkey as _order_0, 'RECORD' as type, 'public-nation' as stream, cast(7 as bigint) as version, '2024-02-01T00:00:00+00:00' time_extracted,

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.names import slot_candidates
 from ..operators import messages
 from ..operators.changelog import LogStream
+from ..plans import servers
 from ..plans.run import now
 from ..plans.state import State
 from ..sources import change_log
@@ -33,8 +35,21 @@ class LogRunner:
     confirm_path: str | None = None
     state_path: str | None = None
 
+    def slot(self) -> str | None:
+        """The replication slot that feeds the log; None where the log's owner says nothing of its server.
+
+        Fails where the server's version has no usable log, and where none of the names that are looked for exists.
+        """
+        facts = change_log.server_facts(self.path)
+        if facts is None:
+            return None
+        servers.require(int(facts["version"]))
+        names = slot_candidates(self.settings.dbname, self.settings.pipeline_id, self.settings.slot_prefixes)
+        return servers.first_slot(names, facts.get("slots", ()))
+
     def current_lsn(self) -> int:
         """The highest position now in the log; 0 for an empty one."""
+        self.slot()
         change_log.register(self.spark)
         return self.spark.read.format(change_log.NAME).load(self.path).agg(F.coalesce(F.max("lsn"), F.lit(0))).first()[0]
 

@@ -6,11 +6,13 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import table_list
 from ..operators import changelog, messages
 from ..operators.changelog import LogStream
 from ..plans.state import State
@@ -68,20 +70,24 @@ class LogSession:
             self._refresh_known(spark, events)
             table = spark.createDataFrame([(s.schema, s.table) for s in self.streams], "schema string, `table` string")
             routed = changelog.route(events, table)
+            met = {(r["schema"], r["table"]): r for r in changelog.counts(routed).collect()}  # a row for each stream
+            lines = [self._lines(routed, s) for s in self.streams if (s.schema, s.table) in met]
+            if lines:  # all streams in one pass, so that records leave in the order of the log
+                self.write(reduce(DataFrame.unionByName, lines).orderBy("_order_0", "_order_1"))
             for s in self.streams:
-                decoded = changelog.assemble(routed, s, self.extracted_at, self.debug_lsn)
-                names = [*s.selected, changelog.DELETED_AT, *([changelog.POSITION] if self.debug_lsn else [])]
-                lines = messages.record_messages(decoded, f"{s.schema}-{s.table}", s.version, self.extracted_at, {n: F.col(f"`{n}`") for n in names}, ["_lsn", "_seq"], F.col("_present"))
-                n = self.write(lines.orderBy("_order_0", "_order_1"))
-                if n:
-                    self.rows[s.stream_id] = self.rows.get(s.stream_id, 0) + n
-                    last = decoded.agg(F.max("_lsn")).first()[0]
-                    self.state.put(s.stream_id, lsn=last)
+                if got := met.get((s.schema, s.table)):
+                    self.rows[s.stream_id] = self.rows.get(s.stream_id, 0) + got["n"]
+                    self.state.put(s.stream_id, lsn=got["last"])
             self._bury(events, batch_id)
             self._advance(events)
         finally:
             events.unpersist()
 
+    def _lines(self, routed: DataFrame, s: LogStream) -> DataFrame:
+        decoded = changelog.assemble(routed, s, self.extracted_at, self.debug_lsn)
+        names = [*s.selected, changelog.DELETED_AT, *([changelog.POSITION] if self.debug_lsn else [])]
+        return messages.record_messages(decoded, f"{s.schema}-{s.table}", s.version, self.extracted_at, {n: F.col(f"`{n}`") for n in names}, ["_lsn", "_seq"], F.col("_present"))
+
     def _bury(self, events: DataFrame, batch_id: int) -> None:
         dead = changelog.unreadable(events)
         n = dead.count()
@@ -139,6 +145,7 @@ def run(spark: SparkSession, session: LogSession, path: str, checkpoint: str, co
         session.dead_letters = f"{checkpoint.rstrip('/')}-dead-letters"
     start = session.state.committed([s.stream_id for s in session.streams])
     options = {"path": path, "startLsn": str(-1 if start is None else start - 1), "streams": ",".join(s.stream_id for s in session.streams)}
+    options["addTables"] = table_list([(s.schema, s.table) for s in session.streams])
     for key, value in (("endLsn", session.end_lsn), ("confirmPath", confirm_path), ("statePath", state_path)):
         if value is not None:
             options[key] = str(value)
