@@ -10,7 +10,7 @@ from weirflow.operators import changelog, messages
 from weirflow.plans import catalog, servers
 from weirflow.plans.catalog import CatalogError, Relation, Stream
 from weirflow.plans.state import State, StateError, resolve_method
-from weirflow.sources import jdbc
+from weirflow.sources import jdbc, server_catalog
 from weirflow.sources.relations import JdbcSource, Split
 
 CONFIG = {"host": "h", "port": 5432, "user": "u@x", "password": "p/w", "dbname": "d b"}
@@ -63,6 +63,27 @@ def test_jdbc_source_splits_and_types(spark):
         source.rows("APP", "spread")
 
 
+def test_discovery_from_the_catalog_of_a_server(spark):
+    """Sizes of columns and of domains, arrays, enums, keys, system schemas; a table without a key or with odd statistics."""
+    frames = {
+        "pg_class": spark.createDataFrame([(100, 1, "t", "r", -1), (101, 1, "v", "v", 0), (102, 2, "pg_class", "r", 9), (103, 1, "i", "i", 3)], "oid long, namespace long, name string, kind string, row_count long"),
+        "pg_namespace": spark.createDataFrame([(1, "public"), (2, "pg_catalog")], "oid long, schema_name string"),
+        "pg_attribute": spark.createDataFrame([(100, 1, "id", 23, -1), (100, 2, "price", 1700, (10 << 16) + 2 + 4), (100, 3, "code", 50, -1), (100, 4, "moods", 61, -1), (100, 5, "flags", 1560, 3), (100, 6, "any", 1700, -1), (101, 1, "id", 23, -1), (102, 1, "oid", 23, -1), (103, 1, "id", 23, -1)], "relation long, number int, name string, type long, mods int"),
+        "pg_type": spark.createDataFrame([(23, "integer", 0, 0, "b", -1), (1700, "numeric", 0, 0, "b", -1), (1043, "character varying", 0, 0, "b", -1), (50, "code", 1043, 0, "d", 12), (61, "mood[]", 0, 70, "b", -1), (70, "mood", 0, 0, "e", -1), (1560, "bit", 0, 0, "b", -1)], "oid long, name string, base long, element long, category string, mods int"),
+        "pg_index": spark.createDataFrame([(100, "1 3")], "relation long, numbers string"),
+    }
+    scan = server_catalog.scan(lambda sql: frames[sql.split(" from pg_catalog.")[1].split()[0]])
+    rows = {(r["table_name"], r["column_name"]): r for r in scan.where("schema_name = 'public'").collect()}
+    look = lambda c: tuple(rows["t", c][k] for k in ("type", "is_array", "is_enum", "length", "precision", "scale", "is_key"))
+    assert look("id") == ("integer", False, False, None, None, None, True) and look("price") == ("numeric", False, False, None, 10, 2, False)
+    assert look("code") == ("character varying", False, False, 8, None, None, True) and look("moods") == ("mood", True, True, None, None, None, False)
+    assert look("flags") == ("bit", False, False, 3, None, None, False) and look("any")[3:6] == (None, None, None)
+    found = catalog.discover(scan, "db")
+    facts = {e["tap_stream_id"]: e["metadata"][0]["metadata"] for e in found}
+    assert set(facts) == {"public-t", "public-v"} and facts["public-t"]["table-key-properties"] == ["code", "id"] and facts["public-t"]["row-count"] == 0 and facts["public-v"]["is-view"]
+    assert [e["tap_stream_id"] for e in catalog.discover(scan, "db", ["other"])] == []
+
+
 def entry(**stream):
     columns = [ColumnInfo("id", "integer", is_key=True), ColumnInfo("at", "timestamp without time zone"), ColumnInfo("blob", "bytea"), ColumnInfo("name", "text")]
     e = catalog.stream_entry("public", "t", False, 3, "db", columns)

@@ -339,7 +339,7 @@ def test_servers_of_a_log(spark, tmp_path):
 
 def test_command_line(spark, source, tmp_path):
     config = tmp_path / "config.json"
-    config.write_text(json.dumps(CONFIG | {"parquet_root": source.root, "tables": ["people"], "default_replication_method": "FULL_TABLE"}))
+    config.write_text(json.dumps(CONFIG | {"parquet_root": source.root, "tables": ["people"], "default_replication_method": "FULL_TABLE", "facts": {"people": {"keys": ["id"], "watermark": "id"}}, "current_xid": 9}))
     assert cli.run(["-c", str(config)], spark) is None
     out = io.StringIO()
     cli.run(["-c", str(config), "--discover"], spark, out)
@@ -350,4 +350,10 @@ def test_command_line(spark, source, tmp_path):
     out = io.StringIO()
     state = cli.run(["-c", str(config), "--catalog", str(chosen)], spark, out)
     assert out.getvalue().count('"RECORD"') == 3 and state.get("public-people", "version")
+    assert [m["key_properties"] for m in map(json.loads, out.getvalue().splitlines()) if m["type"] == "SCHEMA"] == [["id"]]
+    bookmark = tmp_path / "state.json"
+    bookmark.write_text(json.dumps({"bookmarks": {"public-people": {"version": 5, "xmin": 2, "last_replication_method": "FULL_TABLE"}}}))
+    out = io.StringIO()
+    cli.run(["-c", str(config), "--catalog", str(chosen), "--state", str(bookmark)], spark, out)
+    assert [m["record"]["id"] for m in map(json.loads, out.getvalue().splitlines()) if m["type"] == "RECORD"] == [2, 3]
     assert runs.new_version() > 10**12

@@ -14,7 +14,7 @@ from .config import Settings
 from .plans.catalog import catalog_json
 from .plans.run import Run
 from .plans.state import State
-from .sources.relations import JdbcSource, ParquetSource, Split
+from .sources.relations import Fact, JdbcSource, ParquetSource, Split
 from .streaming.runner import LogRunner
 
 LOG = logging.getLogger("weirflow")
@@ -43,14 +43,19 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None, out=No
         out.write(line + "\n")
         out.flush()
 
+    facts = {t: Fact(tuple(x.get("keys", ())), x.get("watermark"), bool(x.get("is_view"))) for t, x in raw.get("facts", {}).items()}
+    current_xid = None
     if raw.get("parquet_root"):
-        source = ParquetSource(spark, raw["parquet_root"], tuple(raw.get("tables", ())))
+        source = ParquetSource(spark, raw["parquet_root"], tuple(raw.get("tables", ())), facts=facts)
+        if raw.get("current_xid") is not None:
+            current_xid = lambda: int(raw["current_xid"])
     else:
         splits = {t: Split(x["column"], int(x["parts"])) for t, x in raw.get("splits", {}).items()}
-        source = JdbcSource(spark, settings, tuple(tuple(t) for t in raw.get("tables", ())), splits=splits, types=raw.get("column_types", {}))
+        source = JdbcSource(spark, settings, tuple(tuple(t) for t in raw.get("tables", ())), facts, splits=splits, types=raw.get("column_types", {}))
+        current_xid = source.current_xid
     log = raw.get("change_log")
     reader = LogRunner(spark, settings, log["path"], log["checkpoint"], log.get("confirm"), given.state) if log else None
-    job = Run(spark, source, settings, emit, reader, reader.current_lsn if reader else None)
+    job = Run(spark, source, settings, emit, reader, reader.current_lsn if reader else None, current_xid)
     if given.discover:
         emit(catalog_json(job.discovered()))
         return None

@@ -73,17 +73,19 @@ def resolved_types(classes: DataFrame, namespaces: DataFrame, attributes: DataFr
     """The scan out of system-catalog tables: domains give their base type, also within arrays.
 
     classes(oid, namespace, name, kind, row_count), namespaces(oid, schema_name), attributes(relation, number,
-    name, type, mods), kinds(oid, name, base, element, category), keys(relation, numbers).
+    name, type, mods), kinds(oid, name, base, element, category, mods), keys(relation, numbers).  ``mods``, which may
+    be left out, is -1 where no sizes are declared; a domain's sizes are its own.
     """
-    k = {x: kinds.select(*[F.col(c).alias(f"{x}_{c}") for c in ("oid", "name", "base", "element", "category")]) for x in ("t", "b", "e", "eb")}
-    rows = classes.join(namespaces.withColumnRenamed("oid", "namespace"), "namespace").join(attributes.select(F.col("relation").alias("oid"), "number", F.col("name").alias("column_name"), "type"), "oid")
+    attributes, kinds = (x if "mods" in x.columns else x.withColumn("mods", F.lit(-1)) for x in (attributes, kinds))
+    k = {x: kinds.select(*[F.col(c).alias(f"{x}_{c}") for c in ("oid", "name", "base", "element", "category", "mods")]) for x in ("t", "b", "e", "eb")}
+    rows = classes.join(namespaces.withColumnRenamed("oid", "namespace"), "namespace").join(attributes.select(F.col("relation").alias("oid"), "number", F.col("name").alias("column_name"), "type", "mods"), "oid")
     rows = rows.join(k["t"], F.col("type") == F.col("t_oid")).join(k["b"], (F.col("t_base") == F.col("b_oid")) & (F.col("t_base") != 0), "left")
     rows = rows.withColumn("_element", F.coalesce(F.when(F.col("b_element") != 0, F.col("b_element")), F.when(F.col("t_element") != 0, F.col("t_element"))))
     rows = rows.join(k["e"], F.col("_element") == F.col("e_oid"), "left").join(k["eb"], (F.col("e_base") == F.col("eb_oid")) & (F.col("e_base") != 0), "left")
     rows = rows.join(keys.withColumnRenamed("relation", "oid"), "oid", "left")
     own = F.coalesce("eb_name", "e_name", "b_name", "t_name")
     category = F.coalesce("eb_category", "e_category", "b_category", "t_category")
-    return rows.select("schema_name", F.col("name").alias("table_name"), "kind", "row_count", "column_name", own.alias("type"), F.col("_element").isNotNull().alias("is_array"), (category == "e").alias("is_enum"), F.coalesce(F.array_contains("numbers", F.col("number")), F.lit(False)).alias("is_key"))
+    return rows.select("schema_name", F.col("name").alias("table_name"), "kind", "row_count", "column_name", own.alias("type"), F.col("_element").isNotNull().alias("is_array"), (category == "e").alias("is_enum"), F.coalesce(F.array_contains("numbers", F.col("number")), F.lit(False)).alias("is_key"), F.when(F.col("t_category") == "d", F.col("t_mods")).otherwise(F.col("mods")).alias("mods"))
 
 
 def stream_entry(schema: str, table: str, is_view: bool, row_count: int, database: str, columns: Sequence[ColumnInfo]) -> dict[str, Any]:

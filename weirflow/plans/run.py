@@ -16,7 +16,7 @@ from ..functions import convert
 from ..functions.names import ref
 from ..operators import batches, incremental, messages, snapshot
 from ..operators.changelog import LogStream
-from .catalog import Stream, column_scan, discover, refresh
+from .catalog import Stream, discover, refresh
 from .state import State, StateError, resolve_method
 
 LOG = logging.getLogger(__name__)
@@ -58,7 +58,7 @@ class Run:
 
     def discovered(self, schemas: Sequence[str] | None = None, tables: Sequence[tuple[str, str]] | None = None) -> list[dict[str, Any]]:
         only = None if tables is None else self.spark.createDataFrame(list(tables), "schema_name string, table_name string")
-        return discover(column_scan(self.spark, self.source.relations()), self.settings.dbname, schemas or self.settings.schemas, only)
+        return discover(self.source.scan(), self.settings.dbname, schemas or self.settings.schemas, only)
 
     # -- reading ----------------------------------------------------------------------------------
 

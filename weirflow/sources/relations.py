@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.names import quote_spark, ref
 from ..functions.types import is_safe_datatype
-from ..plans.catalog import Relation
-from . import jdbc
+from ..plans.catalog import Relation, column_scan
+from . import jdbc, server_catalog
 
 
 class Source(Protocol):
-    """Gives the relations of a database, and each one's rows."""
+    """Gives the columns of a database's relations, and each one's rows."""
 
-    def relations(self) -> list[Relation]: ...
+    def scan(self) -> DataFrame: ...
 
     def rows(self, schema: str, table: str) -> DataFrame: ...
 
@@ -58,6 +58,9 @@ class ParquetSource:
             out.append(Relation(self.schema, name, rows, fact.keys, "v" if fact.is_view else "r", rows.count() if self.counted else 0))
         return out
 
+    def scan(self) -> DataFrame:
+        return column_scan(self.spark, self.relations())
+
     def fact(self, table: str) -> Fact:
         return self.facts.get(table, Fact())
 
@@ -83,6 +86,9 @@ class SessionSource:
                 out.append(Relation(schema, t.name, self.rows(schema, t.name), fact.keys, kind))
         return out
 
+    def scan(self) -> DataFrame:
+        return column_scan(self.spark, self.relations())
+
     def fact(self, table: str) -> Fact:
         return self.facts.get(table, Fact())
 
@@ -97,7 +103,8 @@ class Split:
 
 @dataclass
 class JdbcSource:
-    """Relations of a server; names are given, their schemas come from the server.
+    """Relations of a server: those that are named, with columns as the driver types them, or, where no name is
+    given, all that its catalog has.
 
     ``splits`` has the tables that are read in parallel; a table without one is read by one task.  ``types`` has
     for a table the Spark types of columns that the driver would give another.
@@ -125,6 +132,21 @@ class JdbcSource:
             return whole
         return jdbc.read(self.spark, given, split.column, low, high, split.parts, custom)
 
+    def scan(self) -> DataFrame:
+        if self.names:
+            return column_scan(self.spark, self.relations())
+        return server_catalog.scan(self.query)
+
+    def query(self, sql: str) -> DataFrame:
+        """The rows of a query, which the server runs."""
+        given = {**jdbc.options(self.settings, "", "", dbname=self.dbname), **self.override}
+        given.pop("dbtable")
+        return jdbc.read(self.spark, given | {"query": sql})
+
+    def current_xid(self) -> int:
+        """The server's transaction id, as rows hold it: without its epoch."""
+        return int(jdbc.scalar(self.query(server_catalog.CURRENT_ID)))
+
     def _types(self, table: str) -> str | None:
         given = self.types.get(table, {})
         unsafe = [t for t in given.values() if not is_safe_datatype(t)]
