@@ -97,6 +97,31 @@ def test_log_json_and_arrays(values):
     assert values(show("integer[]"), '"{{1,2},{3,4}}"') == ["[[1,2],[3,4]]"]
     with pytest.raises(PySparkException):
         values(lambda c: log_values.decode(F.parse_json(c), "numeric"), '"twelve"')
+    for payload, kind in (('{"a": 1}', "text"), ("[1]", "uuid"), ('"{1"', "text[]"), ('"{\\"a}"', "text[]"), ('"{x}"', "time without time zone[]")):
+        with pytest.raises(PySparkException):
+            values(lambda c, kind=kind: log_values.decode(F.parse_json(c), kind), payload)
+    assert values(lambda c: log_values.decode(F.parse_json(c), "hstore"), '{"a": "1", "b": null}', '"c=>2"') == [{"a": "1", "b": None}, {"c": "2"}]
+
+
+@pytest.mark.parametrize("payload,kind,expected", [
+    ('"{9007199254740993,NULL}"', "bigint[]", "[9007199254740993,null]"), ('"{2024-01-31 12:30:45+02,infinity}"', "timestamp with time zone[]", '["2024-01-31T12:30:45+02:00","9999-12-31T23:59:59.999+00:00"]'),
+    ('"{2024-01-31,10000-01-01}"', "date[]", None), ('"{1.50,NaN}"', "numeric(10,2)[]", "[1.5,null]"), ('"{t,f}"', "boolean[]", "[true,false]"), ('"{}"', "text[]", "[]"), ("null", "text[]", None),
+    ('"{1.5,NaN,Infinity}"', "real[]", "[1.5,null,null]"), ('"{{1.5},{NaN}}"', "real[]", "[[1.5],[null]]"), ('"{{{1}},{{2}}}"', "integer[]", "[[[1]],[[2]]]"), ('["a", null, "b"]', "text[]", '["a",null,"b"]'), ('[[1, 2], [3, 4]]', "bigint[]", "[[1,2],[3,4]]"),
+    ('"{a, \\"b,c\\", \\\\N}"', "text[]", '["a","b,c","N"]'), ('"{\\"{\\\\\\"k\\\\\\": 1}\\"}"', "jsonb[]", '[{"k":1}]'), ('"[0:1]={24:00:00,01:02:03.5}"', "time without time zone[]", '["00:00:00","01:02:03"]'),
+])
+def test_items_of_arrays(values, payload, kind, expected):
+    """Items are read as values of their type, whether a literal or a list holds them."""
+    got = values(lambda c: F.to_json(log_values.decode(F.parse_json(c), kind)), payload)[0]
+    if kind == "date[]":
+        assert json.loads(got)[0] == "2024-01-31T00:00:00+00:00" and json.loads(got)[1].startswith("9999-12-31")
+    else:
+        assert got == expected or json.loads(got) == json.loads(expected)
+
+
+def test_flat_literals_agree_with_the_reader(values):
+    texts = ["{}", "{a}", '{"a b",c d,NULL,"NULL",null}', '{"x\\y","","{}"}', "[2:3]={p,q}", r'{"a,b","c\"d"}']
+    assert values(literals.is_flat, *texts, "{{a}}", "{ a}", r"{a\,b}", "{a", None) == [True] * len(texts) + [False] * 4 + [None]
+    assert values(literals.flat_array, *texts) == [literals.read_array(t) for t in texts]
 
 
 @pytest.mark.parametrize("text,number", [("16/B374D848", 97500059720), ("0/0", 0), ("FFFFFFF/FFFFFFFF", (0xFFFFFFF << 32) + 0xFFFFFFFF), (None, None), ("", None)])

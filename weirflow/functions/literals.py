@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,8 +12,14 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 
+
+def _finite(text: str) -> float | None:
+    number = float(text)
+    return number if math.isfinite(number) else None
+
+
 #: Elements that keep a type of their own; all others are read as text (fixed values).
-NATIVE = {"smallint": int, "integer": int, "real": float, "double precision": float, "boolean": lambda x: x.lower() in ("t", "true", "1")}
+NATIVE = {"smallint": int, "integer": int, "real": _finite, "double precision": _finite, "boolean": lambda x: x.lower() in ("t", "true", "1")}
 
 
 class LiteralError(ValueError):
@@ -87,6 +94,12 @@ def array_json(literals: Column, element: str) -> Column:
     return run(literals)
 
 
+def is_flat(literal: Column) -> Column:
+    """Whether ``flat_array`` can read a literal: one dimension, and outside of quotes no escape and no space at a border."""
+    bare = F.regexp_replace(literal, r'"(?:[^"\\]|\\.)*"', "")
+    return bare.rlike(r'^(?:\[[^=]*\]=)?\{[^{}"\\]*\}$') & ~bare.rlike(r"[{,]\s|\s[,}]")
+
+
 def flat_array(literal: Column) -> Column:
     """The items of a one-dimensional literal as text, in DataFrame functions only."""
     item = r'"((?:[^"\\]|\\.)*)"|([^,{}"]+)'

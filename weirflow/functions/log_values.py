@@ -18,12 +18,15 @@ def text_of(value: Column) -> Column:
 
 
 def decode(value: Column, datatype: str) -> Column:
-    """One value by its column's type; null stays null.  Arrays come as JSON variants, at any depth."""
-    text = text_of(value)
+    """One value by its column's type; null stays null.  Arrays come as variants.
+
+    An object or a list where the type has none fails.
+    """
     element, is_array = types.split_array(datatype)
-    kind = element.split("(")[0].strip()
     if is_array:
-        return F.parse_json(literals.array_json(text, kind))
+        return _array(value, element)
+    text = text_of(value)
+    kind = element.split("(")[0].strip()
     if kind in types.TIMESTAMPS:
         return temporal.log_timestamp(text)
     if kind == "date":
@@ -45,8 +48,31 @@ def decode(value: Column, datatype: str) -> Column:
     if kind in types.JSON:
         return F.when(F.schema_of_variant(value) == "STRING", F.parse_json(text)).otherwise(value)
     if kind == "hstore":
-        return literals.hstore(text)
-    return text
+        return F.when(_is(value, "OBJECT"), F.try_variant_get(value, "$", "map<string,string>")).otherwise(literals.hstore(text))
+    failed = F.raise_error(F.concat(F.lit(f"can't read this value of type {datatype}: "), text)).cast("string")
+    return F.when(_is(value, "OBJECT") | _is(value, "ARRAY"), failed).otherwise(text)
+
+
+def _is(value: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
+
+
+def _array(value: Column, element: str) -> Column:
+    """A list, or the literal of one, with its items read by their type; below two dimensions they stay as they are.
+
+    Literals of one dimension are read by DataFrame functions; only others go to Python.
+    """
+    text = F.when(~_is(value, "ARRAY"), text_of(value))
+    flat = literals.is_flat(text)
+    plain = F.to_json(literals.flat_array(F.when(flat, text)), {"ignoreNullFields": "false"})
+    read = F.parse_json(F.coalesce(plain, literals.array_json(F.when(~flat, text), element)))
+    whole = F.when(_is(value, "ARRAY"), value).otherwise(read)
+    rows = F.try_variant_get(whole, "$", "array<variant>")
+    nested = F.exists(rows, lambda x: _is(x, "ARRAY"))
+    deep = F.exists(rows, lambda x: F.exists(F.try_variant_get(x, "$", "array<variant>"), lambda y: _is(y, "ARRAY")))
+    one = F.transform(F.when(~nested, rows), lambda x: decode(x, element))
+    two = F.transform(F.when(nested & ~deep, rows), lambda x: F.transform(F.try_variant_get(x, "$", "array<variant>"), lambda y: decode(y, element)))
+    return F.coalesce(F.to_variant_object(one), F.to_variant_object(two), whole)
 
 
 def numeric(text: Column, element: str = "numeric") -> Column:

@@ -27,7 +27,7 @@ def scan(read: Read) -> DataFrame:
     parts = {name: read(sql) for name, sql in READS.items()}
     parts["keys"] = parts["keys"].withColumn("numbers", F.split("numbers", " ").cast("array<int>"))
     rows = catalog.resolved_types(**parts)
-    return rows.select("schema_name", "table_name", "kind", F.greatest("row_count", F.lit(0)).alias("row_count"), "column_name", "type", "is_array", "is_enum", *_sizes(F.col("type"), F.col("mods")), "is_key")
+    return rows.select("schema_name", "table_name", "kind", "row_count", "column_name", "type", "is_array", "is_enum", *_sizes(F.col("type"), F.col("mods")), "is_key")
 
 
 def _sizes(kind, mods):
