@@ -48,9 +48,8 @@ def fully_processed(changes: DataFrame, lsn: str = "lsn", span: int = 1 << 20) -
 
 
 def last_complete(changes: DataFrame, lsn: str = "lsn") -> DataFrame:
-    """One row: the highest position (``last``) and the highest below it (``complete``), without a sort of all.
-
-    Partial aggregates of the distinct positions keep two values each, as ``max_by`` over a bounded top.
+    """One row: the highest position (``last``) and the highest below it (``complete``), without a sort of all:
+    each task keeps its two highest, and the highest two of those are taken.
     """
     top = changes.select(lsn).distinct().orderBy(F.desc(lsn)).limit(2)
     return top.agg(F.max(lsn).alias("last"), F.when(F.count("*") > 1, F.min(lsn)).alias("complete"))
